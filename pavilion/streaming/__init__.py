@@ -1,0 +1 @@
+"""Empty on purpose: every feature of this engine is a one-shot batch job."""
