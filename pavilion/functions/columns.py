@@ -25,8 +25,12 @@ def plain_name(column: Column) -> Column:
 
 
 def six_digits(column: Column) -> Column:
-    """Round half up to six decimals by plain double arithmetic; NaN stays NaN."""
-    scaled = F.floor(column * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)
+    """Round to six decimals by plain double arithmetic; NaN stays NaN.
+
+    The limit lies a little under one half, so that a value exactly halfway goes up
+    even when its last binary digit depends on the order of a sum.
+    """
+    scaled = F.floor(column * F.lit(1e6) + F.lit(0.501)) / F.lit(1e6)
     return F.when(F.isnan(column), column).otherwise(scaled)
 
 

@@ -1,20 +1,12 @@
-"""Materialising intermediate tables.
-
-Small tables are persisted. Large ones go through ``checkpoint()`` into the
-shared folder named by ``spark.checkpoint.dir``, so that the loss of an executor
-does not repeat the work before them.
-"""
+"""Materialising intermediate tables in the folder ``spark.checkpoint.dir`` names."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from pavilion.functions.sizing import is_small
-
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder; a fresh local one only for a local master."""
@@ -33,16 +25,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/pavilion/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
-
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table to the shared folder and go on from the written one.
 
-def stage(df: DataFrame) -> DataFrame:
-    """Make a table that several jobs read: persist if small, else checkpoint."""
-    if is_small(df):
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
-    return cut_lineage(df)
+    Later jobs read only the columns they need, know the table's size, and do not
+    repeat the work before it when an executor is lost.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

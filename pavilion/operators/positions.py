@@ -2,8 +2,8 @@
 
 ``window`` sorts each group in one task. ``distributed`` sorts by range over all
 executors: every row takes its slot in its own partition, and a small table of
-partition sizes turns slots into positions. The sorted rows are checkpointed
-between the two passes, so both passes see the same partitions.
+partition sizes turns slots into positions. The sorted rows are written out
+between the two passes, so both passes see the same slots.
 """
 
 from __future__ import annotations
@@ -13,12 +13,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pavilion.functions.sizing import pick_strategy
-from pavilion.functions.staging import cut_lineage
+from pavilion.functions.sizing import broadcast_if_small, pick_strategy
+from pavilion.functions.staging import stage
 
 # monotonically_increasing_id keeps the partition number above these bits.
 SLOT_BITS = 33
-BROADCAST_ROWS = 200_000
 
 
 def positions(
@@ -36,10 +35,11 @@ def positions(
         window = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(name, F.row_number().over(window).cast("long"))
     sort_columns = [*keys, *order]
-    slotted = cut_lineage(
+    slotted = stage(
         df.repartitionByRange(*sort_columns)
         .sortWithinPartitions(*sort_columns)
-        .withColumn("slot", F.monotonically_increasing_id())
+        .withColumn("slot", F.monotonically_increasing_id()),
+        "slots",
     ).withColumn("part", F.shiftright("slot", SLOT_BITS))
     sizes = slotted.groupBy(*keys, "part").agg(
         F.count(F.lit(1)).alias("rows"), F.min("slot").alias("first_slot")
@@ -48,14 +48,16 @@ def positions(
         Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     )
     before = F.coalesce(F.sum("rows").over(earlier), F.lit(0))
-    shifts = sizes.select(
-        *[F.col(k).alias(f"of_{k}") for k in keys],
-        F.col("part").alias("of_part"),
-        (before - F.col("first_slot") + 1).alias("shift"),
-    ).persist()
+    shifts = stage(
+        sizes.select(
+            *[F.col(k).alias(f"of_{k}") for k in keys],
+            F.col("part").alias("of_part"),
+            (before - F.col("first_slot") + 1).alias("shift"),
+        ),
+        "slot-shifts",
+    )
     # One row per partition and group; checked, because groups may be many.
-    if shifts.count() <= BROADCAST_ROWS:
-        shifts = F.broadcast(shifts)
+    shifts = broadcast_if_small(shifts)
     same = F.col("part") == F.col("of_part")
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"of_{k}"))

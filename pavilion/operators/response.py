@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pavilion.functions.columns import to_long
-from pavilion.operators.buckets import WIDTH_BUCKETS, with_equal_width_buckets
+from pavilion.operators.buckets import WIDTH_BUCKETS, equal_width_long
 
 # Histogram bin width and number of density points.
 BIN_WIDTH = 0.2
@@ -47,28 +47,12 @@ def bucket_stats(
     df: DataFrame, columns: Sequence[str], response: str, n: int = WIDTH_BUCKETS
 ) -> DataFrame:
     """Count, response mean and feature mean per (feature, equal-width bucket)."""
-    bucketed = with_equal_width_buckets(df, columns, n)
-    long = bucketed.select(
-        F.col(response).alias("y"),
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(c).alias("feature"),
-                        F.col(c).cast("double").alias("x"),
-                        F.col(f"bucket_{c}").alias("bucket"),
-                    )
-                    for c in columns
-                ]
-            )
-        ),
-    )
     return (
-        long.where(F.col("bucket").isNotNull())
+        equal_width_long(df, columns, [response], n)
         .groupBy("feature", "bucket")
         .agg(
-            F.count("y").alias("bin_count"),
-            F.avg("y").alias("bin_mean"),
+            F.count(response).alias("bin_count"),
+            F.avg(response).alias("bin_mean"),
             F.avg("x").alias("x_mean"),
         )
     )

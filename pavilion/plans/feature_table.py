@@ -1,7 +1,8 @@
-"""From source tables to the per-match feature tables, as one lazy plan.
+"""From source tables to the per-match feature tables, as DataFrame plans.
 
-Tables that several later steps read (matches, batter parts, dated innings,
-match flags) are staged once; everything else stays lazy.
+Tables that several later steps read (matches, match flags, batter parts, dated
+innings, cleaned features) are written out once, when they are first asked for;
+everything else stays lazy.
 """
 
 from __future__ import annotations
@@ -11,8 +12,11 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from pavilion.functions.staging import stage
-from pavilion.operators import features, games, innings
+from pavilion.operators import cleaning, features, games, innings
 from pavilion.sources import star_schema
+from pavilion.sources.schemas import DIFF_FEATURES, KEY_COLUMNS, RESPONSE
+
+EXPORTED = [*KEY_COLUMNS, RESPONSE, *DIFF_FEATURES]
 
 
 class FeatureTable:
@@ -38,7 +42,7 @@ class FeatureTable:
     @classmethod
     def from_star(cls, spark: SparkSession, folder: str, strategy: str = "auto") -> FeatureTable:
         star = star_schema.open_star(spark, folder)
-        matches = stage(star_schema.matches(star))
+        matches = stage(star_schema.matches(star), "matches")
         return cls(
             star_schema.teams(star),
             matches,
@@ -49,14 +53,14 @@ class FeatureTable:
 
     @cached_property
     def game_stats(self) -> DataFrame:
-        return games.match_indicators(self.matches, self.teams)
+        return stage(games.match_indicators(self.matches, self.teams), "game-stats")
 
     @cached_property
     def parts(self) -> DataFrame:
         if self.sides is None:
-            return stage(innings.batter_parts(self.balls))
+            return stage(innings.batter_parts(self.balls), "batter-parts")
         unnamed = innings.batter_parts(self.balls, ["match_id", "inning", "batsman"])
-        return stage(innings.name_sides(unnamed, self.sides))
+        return stage(innings.name_sides(unnamed, self.sides), "batter-parts")
 
     @cached_property
     def innings(self) -> DataFrame:
@@ -73,7 +77,7 @@ class FeatureTable:
     @cached_property
     def dated_innings(self) -> DataFrame:
         full = innings.with_milestones(self.innings, self.milestones)
-        return stage(innings.with_match_date(full, self.matches))
+        return stage(innings.with_match_date(full, self.matches), "dated-innings")
 
     @cached_property
     def batting_form(self) -> DataFrame:
@@ -108,6 +112,12 @@ class FeatureTable:
         """Thirteen home-minus-away features per match, with the date as order key."""
         return features.difference_features(self.match_stats)
 
+    @cached_property
+    def cleaned(self) -> DataFrame:
+        """Complete feature rows without outliers: what the analyses and models read."""
+        complete = cleaning.drop_nulls(self.final_diff, EXPORTED)
+        return stage(cleaning.zscore_filter(stage(complete, "complete"), EXPORTED), "cleaned")
+
     @cached_property
     def final_ratio(self) -> DataFrame:
         return features.ratio_features(self.match_stats)
