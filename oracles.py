@@ -300,6 +300,86 @@ def _side_out(side: str) -> str:
     return f"{side}_matchplayed, " + ", ".join(f"{r6(f'{side}_{c}')} AS {side}_{c}" for c in numbers)
 
 
+FOLD = "('0x' || substr(md5(id || ':42'), 1, 8))::BIGINT % 5"
+
+
+def model_texts() -> dict[str, str]:
+    q: dict[str, str] = {}
+    length = " + ".join(f"{c}::DOUBLE ** 2" for c in MODEL_16)
+    scaled = ", ".join(f"{c} / nullif(sqrt({length}), 0) AS {c}" for c in MODEL_16)
+    q["row_normalise"] = f"""WITH {CLEANED}, unit AS (SELECT id, {scaled} FROM cleaned),
+unit_long AS ({_long(MODEL_16, 'unit', 'id')})
+SELECT id, feature, {r6('x')} AS value FROM unit_long"""
+    q["standardise"] = f"""WITH {CLEANED}, raw AS MATERIALIZED ({_long(MODEL_16, 'cleaned', 'id')}),
+stats AS (SELECT feature, avg(x) AS m, stddev_pop(x) AS s FROM raw GROUP BY feature)
+SELECT id, feature, {r6('coalesce((x - m) / nullif(s, 0), 0)')} AS value FROM raw JOIN stats USING (feature)"""
+    q["fold_assignment"] = f"WITH {CLEANED} SELECT id, ({FOLD})::INTEGER AS fold FROM cleaned"
+
+    cells = """vectors AS (
+  SELECT vec_id AS id, label, unnest(embedding)::DOUBLE AS v,
+         generate_subscripts(embedding, 1) - 1 AS dim FROM embeddings),
+means AS MATERIALIZED (
+  SELECT label, dim, avg(v) AS mean, count(*) AS rows FROM vectors GROUP BY label, dim),
+apart AS MATERIALIZED (
+  SELECT id, dim, v - mean AS d FROM vectors JOIN means USING (label, dim))"""
+    q["lda_means"] = f"""WITH {cells}
+SELECT label, dim::INTEGER AS dim, {r6_as('mean')}, rows FROM means"""
+    q["lda_covariance"] = f"""WITH {cells},
+freedom AS (SELECT count(*) - count(DISTINCT label) AS f FROM embeddings)
+SELECT a.dim::INTEGER AS dim_1, b.dim::INTEGER AS dim_2, {r6('sum(a.d * b.d) / any_value(f)')} AS covariance
+FROM apart a JOIN apart b USING (id), freedom GROUP BY a.dim, b.dim"""
+    q["knn_predict"] = f"""WITH points AS MATERIALIZED (
+  SELECT vec_id AS id, label, embedding::DOUBLE[] AS e,
+         ('0x' || substr(md5(vec_id || ':42'), 1, 8))::BIGINT % 5 AS fold FROM embeddings),
+near AS (
+  SELECT t.id, s.label, row_number() OVER (
+           PARTITION BY t.id ORDER BY list_distance(t.e, s.e), s.id) AS place
+  FROM points t JOIN points s ON t.fold = 0 AND s.fold <> 0),
+votes AS (SELECT id, label, count(*) AS n FROM near WHERE place <= 5 GROUP BY id, label)
+SELECT id, arg_min(label, -n * 1000000 + label)::INTEGER AS yhat FROM votes GROUP BY id"""
+    q["knn_predict_cells"] = q["knn_predict"]
+
+    metrics = f"""rule AS (
+  SELECT id, ({FOLD})::INTEGER AS fold, Home_team_Win AS y, (AVG_Wins > 0)::INTEGER AS yhat,
+         AVG_Wins AS score FROM cleaned),
+per_class AS (
+  SELECT fold, label, count(*) FILTER (y = label) AS support,
+         count(*) FILTER (y = label AND yhat = label) AS hits,
+         coalesce(count(*) FILTER (y = label AND yhat = label)
+                  / nullif(count(*) FILTER (yhat = label), 0), 0) AS p
+  FROM rule, (VALUES (0), (1)) c(label) GROUP BY fold, label),
+rates AS (SELECT *, hits / nullif(support, 0) AS r FROM per_class),
+score_ranks AS (
+  SELECT fold, y, rank() OVER (PARTITION BY fold ORDER BY score)
+         + (count(*) OVER (PARTITION BY fold, score) - 1) / 2 AS place FROM rule),
+areas AS (
+  SELECT fold, (sum(place) FILTER (y = 1) - count(*) FILTER (y = 1) * (count(*) FILTER (y = 1) + 1) / 2)
+         / (count(*) FILTER (y = 1) * count(*) FILTER (y = 0)) AS auc FROM score_ranks GROUP BY fold),
+wide AS (
+  SELECT fold, sum(hits) / sum(support) AS accuracy, sum(p * support) / sum(support) AS precision_weighted,
+         sum(r * support) / sum(support) AS recall_weighted,
+         sum(coalesce(2 * p * r / nullif(p + r, 0), 0) * support) / sum(support) AS f1_weighted
+  FROM rates GROUP BY fold),
+scores AS (
+  SELECT fold, 'accuracy' AS metric, accuracy AS value FROM wide
+  UNION ALL SELECT fold, 'precision_weighted', precision_weighted FROM wide
+  UNION ALL SELECT fold, 'recall_weighted', recall_weighted FROM wide
+  UNION ALL SELECT fold, 'f1_weighted', f1_weighted FROM wide
+  UNION ALL SELECT fold, 'roc_auc', auc FROM areas)"""
+    q["fold_metrics"] = f"""WITH {CLEANED}, {metrics}
+SELECT 'RULE' AS model, fold, metric, {r6('value')} AS value FROM scores"""
+    q["fold_metrics_ranged"] = q["fold_metrics"]
+    q["fold_boxplot"] = f"""WITH {CLEANED}, {metrics},
+hits AS (SELECT value FROM scores WHERE metric = 'accuracy'),
+box AS (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
+               quantile_cont(value, 0.75) AS q3 FROM hits)
+SELECT 'RULE' AS model, {r6('q1')} AS q1, {r6('median')} AS median, {r6('q3')} AS q3,
+       {r6('min(value)')} AS low_whisker, {r6('max(value)')} AS high_whisker
+FROM hits, box WHERE value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)
+GROUP BY q1, median, q3"""
+    return q
+
+
 def sql_texts() -> dict[str, str]:
     q: dict[str, str] = {}
     q["source_matches"] = f"WITH {SOURCES} SELECT * FROM matches"
@@ -430,4 +510,5 @@ SELECT feature, {r6('regr_slope(Home_team_Win::DOUBLE, x)')} AS slope,
 FROM long GROUP BY feature"""
     q["univariate_logit"] = f"""WITH {LONGS}, {NEWTON}
 SELECT feature, {r6_as('intercept slope std_error t_value')} FROM logit"""
+    q.update(model_texts())
     return q

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pavilion.functions.sizing import is_small
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder; a fresh local one only for a local master."""
@@ -25,6 +27,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/pavilion/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Put a small table on all cores, for work that is heavy per row.
+
+    A large one already has many partitions and is not shuffled.
+    """
+    if not is_small(df):
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table to the shared folder and go on from the written one.
 

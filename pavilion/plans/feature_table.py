@@ -11,7 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pavilion.functions.staging import stage
+from pavilion.functions.staging import spread, stage
 from pavilion.operators import cleaning, features, games, innings
 from pavilion.sources import star_schema
 from pavilion.sources.schemas import DIFF_FEATURES, KEY_COLUMNS, RESPONSE
@@ -116,7 +116,8 @@ class FeatureTable:
     def cleaned(self) -> DataFrame:
         """Complete feature rows without outliers: what the analyses and models read."""
         complete = cleaning.drop_nulls(self.final_diff, EXPORTED)
-        return stage(cleaning.zscore_filter(stage(complete, "complete"), EXPORTED), "cleaned")
+        kept = cleaning.zscore_filter(stage(complete, "complete"), EXPORTED)
+        return stage(spread(kept), "cleaned")
 
     @cached_property
     def final_ratio(self) -> DataFrame:

@@ -1 +1,182 @@
 """Model queries of the catalogue."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from pavilion.functions.columns import round_doubles
+from pavilion.operators import discriminant, importance, metrics, neighbours, vectors
+from pavilion.operators.folds import fold_of, with_folds
+from pavilion.plans import model_selection as ms
+from pavilion.plans.catalog import ORDER, TRAIN_ROWS, cleaned, query
+from pavilion.sources.schemas import DIFF_FEATURES, KEY_COLUMNS, RESPONSE
+
+MODEL_COLUMNS = [c for c in KEY_COLUMNS if c != "id"] + DIFF_FEATURES
+
+
+def _long_vectors(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Vectors as long rows (id, feature, value)."""
+    wide = df.select("id", vector_to_array("features").alias("v"))
+    named = wide.select("id", *[F.col("v")[i].alias(c) for i, c in enumerate(columns)])
+    return named.unpivot(["id"], columns, "feature", "value")
+
+
+def _embeddings(spark, folder) -> DataFrame:
+    raw = spark.read.parquet(f"{folder.rstrip('/')}/embeddings.parquet")
+    named = raw.select(F.col("vec_id").alias("id"), F.col("label").cast("double"), "embedding")
+    return with_folds(vectors.from_array(named, "embedding", ["id", "label"]))
+
+
+@query("row_normalise")
+def _row_normalise(spark, folder):
+    scaled = ms.normalised(cleaned(spark, folder), MODEL_COLUMNS, ["id"])
+    return round_doubles(_long_vectors(scaled, MODEL_COLUMNS))
+
+
+@query("standardise")
+def _standardise(spark, folder):
+    raw = vectors.assemble(cleaned(spark, folder), MODEL_COLUMNS, ["id"])
+    scaled = vectors.Standardiser.fit(raw).transform(raw)
+    return round_doubles(_long_vectors(scaled, MODEL_COLUMNS))
+
+
+def _components(spark, folder):
+    raw = vectors.assemble(cleaned(spark, folder), MODEL_COLUMNS, ["id"])
+    return ms.pca_features(raw, [raw], len(MODEL_COLUMNS))
+
+
+@query("pca_variance")
+def _pca_variance(spark, folder):
+    parts, (scores,) = _components(spark, folder)
+    return round_doubles(vectors.variance_table(scores, parts))
+
+
+@query("pca_loadings")
+def _pca_loadings(spark, folder):
+    parts, (scores,) = _components(spark, folder)
+    return round_doubles(vectors.loadings_table(scores, parts, MODEL_COLUMNS))
+
+
+@query("fold_assignment")
+def _fold_assignment(spark, folder):
+    return cleaned(spark, folder).select("id", fold_of(F.col("id")).alias("fold"))
+
+
+@query("lda_means")
+def _lda_means(spark, folder):
+    return round_doubles(discriminant.class_means(_embeddings(spark, folder)))
+
+
+@query("lda_covariance")
+def _lda_covariance(spark, folder):
+    return round_doubles(discriminant.pooled_covariance(_embeddings(spark, folder)))
+
+
+def _embedding_folds(spark, folder):
+    rows = _embeddings(spark, folder)
+    train = rows.where(F.col("fold") != 0).drop("fold")
+    return train, rows.where(F.col("fold") == 0).drop("fold")
+
+
+@query("lda_predict")
+def _lda_predict(spark, folder):
+    train, test = _embedding_folds(spark, folder)
+    scored = discriminant.fit_predict(train, test, ["id", "label"])
+    return scored.select("id", F.col("label").cast("int"), F.col("yhat").cast("int"))
+
+
+def _knn(spark, folder, strategy):
+    train, test = _embedding_folds(spark, folder)
+    scored = neighbours.knn_predict(train, test, ["id"], strategy=strategy)
+    return scored.select("id", F.col("yhat").cast("int"))
+
+
+@query("knn_predict")
+def _knn_predict(spark, folder):
+    return _knn(spark, folder, "auto")
+
+
+@query("knn_predict_cells")
+def _knn_predict_cells(spark, folder):
+    return _knn(spark, folder, "cells")
+
+
+@query("forest_importance")
+def _forest_importance(spark, folder):
+    ranked = importance.forest_importance(cleaned(spark, folder), DIFF_FEATURES, RESPONSE)
+    return round_doubles(ranked.orderBy(F.desc("forest_importance"), "feature"))
+
+
+def _rule_predictions(spark, folder) -> DataFrame:
+    """A fixed rule as a model: the side with the better earlier win rate wins."""
+    rule = F.col("AVG_Wins")
+    return with_folds(cleaned(spark, folder)).select(
+        F.lit("RULE").alias("model"),
+        "fold",
+        "id",
+        F.col(RESPONSE).alias("y"),
+        F.when(rule > 0, 1).otherwise(0).alias("yhat"),
+        rule.alias("score"),
+    )
+
+
+@query("fold_metrics")
+def _fold_metrics(spark, folder):
+    return round_doubles(metrics.fold_metrics(_rule_predictions(spark, folder)))
+
+
+@query("fold_metrics_ranged")
+def _fold_metrics_ranged(spark, folder):
+    return round_doubles(metrics.fold_metrics(_rule_predictions(spark, folder), "distributed"))
+
+
+@query("fold_boxplot")
+def _fold_boxplot(spark, folder):
+    scores = metrics.fold_metrics(_rule_predictions(spark, folder))
+    return round_doubles(metrics.fold_boxplot(scores))
+
+
+def _one_model(spark, folder, name):
+    predictions = ms.cross_validate(
+        cleaned(spark, folder), MODEL_COLUMNS, RESPONSE, models={name: ms.MODELS[name]}
+    )
+    return predictions.select("fold", "id", "y", "yhat")
+
+
+@query("cart_predict")
+def _cart_predict(spark, folder):
+    return _one_model(spark, folder, "CART")
+
+
+@query("rf_predict")
+def _rf_predict(spark, folder):
+    return _one_model(spark, folder, "RF")
+
+
+@query("svm_predict")
+def _svm_predict(spark, folder):
+    return _one_model(spark, folder, "SVM")
+
+
+@query("mlp_predict")
+def _mlp_predict(spark, folder):
+    predictions, _ = ms.held_out_net(
+        cleaned(spark, folder), MODEL_COLUMNS, RESPONSE, ORDER, TRAIN_ROWS
+    )
+    return predictions
+
+
+@query("model_metrics")
+def _model_metrics(spark, folder):
+    """All models on row-normalised features: fold values and their mean."""
+    predictions = ms.cross_validate(cleaned(spark, folder), MODEL_COLUMNS, RESPONSE)
+    return round_doubles(metrics.fold_metrics(predictions))
+
+
+@query("model_metrics_pca")
+def _model_metrics_pca(spark, folder):
+    """All models on principal components."""
+    predictions = ms.cross_validate(cleaned(spark, folder), MODEL_COLUMNS, RESPONSE, "pca")
+    return round_doubles(metrics.model_means(metrics.fold_metrics(predictions)))
