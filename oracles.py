@@ -188,12 +188,20 @@ final_diff AS MATERIALIZED (
          Home_Avg_Wins - Away_Avg_Wins AS AVG_Wins, date
   FROM match_stats)"""
 
+def _r8(column: str) -> str:
+    """Eight decimals: averages that differ only by the order of their sums become equal."""
+    return f"floor({column} * 1e8::DOUBLE + 0.501::DOUBLE) / 1e8::DOUBLE"
+
+
 _NOT_NULL = " AND ".join(f"{c} IS NOT NULL" for c in ALL_18)
 _MOMENTS = ", ".join(f"avg({c}) AS mean_{c}, stddev_pop({c}) AS sd_{c}" for c in ALL_18)
 _WITHIN = " AND ".join(f"abs(({c} - mean_{c}) / nullif(sd_{c}, 0)) < 3" for c in ALL_18)
 
 CLEAN = f"""
-complete AS (SELECT * FROM final_diff WHERE {_NOT_NULL}),
+complete AS MATERIALIZED (
+  SELECT {', '.join([*KEYS, 'Home_team_Win'])}, date,
+         {', '.join(c if c == 'matchplayed' else f'{_r8(c)} AS {c}' for c in FEATURES)}
+  FROM final_diff WHERE {_NOT_NULL}),
 spread AS (SELECT {_MOMENTS} FROM complete),
 cleaned AS MATERIALIZED (
   SELECT {', '.join(ALL_18)}, date FROM complete, spread WHERE {_WITHIN}),
@@ -222,8 +230,13 @@ tenths AS MATERIALIZED (
 
 _EDGES = " + ".join(f"(x > step * {i}.0::DOUBLE + low)::INTEGER" for i in range(1, 8))
 EIGHTHS = f"""
+ends AS (
+  SELECT feature, min(x) AS lo, max(x) AS hi,
+         CASE WHEN min(x) < max(x) THEN 0 WHEN min(x) = 0 THEN 0.001::DOUBLE
+              ELSE abs(min(x)) * 0.001::DOUBLE END AS pad
+  FROM long GROUP BY feature),
 edges AS (
-  SELECT feature, min(x) AS low, (max(x) - min(x)) / 8.0::DOUBLE AS step FROM long GROUP BY feature),
+  SELECT feature, lo - pad AS low, ((hi + pad) - (lo - pad)) / 8.0::DOUBLE AS step FROM ends),
 eighths AS (SELECT l.*, ({_EDGES})::INTEGER AS bucket FROM long l JOIN edges USING (feature)),
 eighth_stats AS (
   SELECT feature, bucket, count(*) AS bin_count, avg(Home_team_Win) AS bin_mean, avg(x) AS x_mean

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,38 +24,29 @@ def plain_name(column: Column) -> Column:
     return F.lower(F.rtrim(column))
 
 
-def six_digits(column: Column) -> Column:
-    """Round to six decimals by plain double arithmetic; NaN stays NaN.
+def rounded(column: Column, digits: int = 6) -> Column:
+    """Round by plain double arithmetic; NaN stays NaN.
 
     The limit lies a little under one half, so that a value exactly halfway goes up
     even when its last binary digit depends on the order of a sum.
     """
-    scaled = F.floor(column * F.lit(1e6) + F.lit(0.501)) / F.lit(1e6)
-    return F.when(F.isnan(column), column).otherwise(scaled)
+    scale = F.lit(10.0**digits)
+    near = F.floor(column * scale + F.lit(0.501)) / scale
+    return F.when(F.isnan(column), column).otherwise(near)
 
 
-def round_doubles(df: DataFrame, skip: Iterable[str] = ()) -> DataFrame:
-    """Apply ``six_digits`` to every floating-point column."""
-    keep = set(skip)
+def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Round every floating-point column."""
     return df.select(
         *[
-            six_digits(F.col(f.name).cast("double")).alias(f.name)
-            if isinstance(f.dataType, (T.DoubleType, T.FloatType)) and f.name not in keep
+            rounded(F.col(f.name).cast("double"), digits).alias(f.name)
+            if isinstance(f.dataType, (T.DoubleType, T.FloatType))
             else F.col(f.name)
             for f in df.schema.fields
         ]
     )
 
 
-def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
-    """Names of the numeric columns, in schema order."""
-    return [
-        f.name
-        for f in df.schema.fields
-        if isinstance(f.dataType, T.NumericType) and f.name not in set(exclude)
-    ]
-
-
 def to_long(df: DataFrame, ids: Sequence[str], columns: Sequence[str], value: str = "x") -> DataFrame:
     """One row per (row, feature): the wide table turned long, values as double."""
     wide = df.select(*ids, *[F.col(c).cast("double").alias(c) for c in columns])

@@ -11,11 +11,13 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pavilion.functions.columns import round_doubles
 from pavilion.functions.staging import spread, stage
 from pavilion.operators import cleaning, features, games, innings
 from pavilion.sources import star_schema
 from pavilion.sources.schemas import DIFF_FEATURES, KEY_COLUMNS, RESPONSE
 
+FEATURE_DIGITS = 8
 EXPORTED = [*KEY_COLUMNS, RESPONSE, *DIFF_FEATURES]
 
 
@@ -114,8 +116,12 @@ class FeatureTable:
 
     @cached_property
     def cleaned(self) -> DataFrame:
-        """Complete feature rows without outliers: what the analyses and models read."""
-        complete = cleaning.drop_nulls(self.final_diff, EXPORTED)
+        """Complete feature rows without outliers: what the analyses and models read.
+
+        Rounding makes averages equal that differ only by the order of their sums,
+        so that ranks and buckets do not depend on how the data was partitioned.
+        """
+        complete = round_doubles(cleaning.drop_nulls(self.final_diff, EXPORTED), FEATURE_DIGITS)
         kept = cleaning.zscore_filter(stage(complete, "complete"), EXPORTED)
         return stage(spread(kept), "cleaned")
 

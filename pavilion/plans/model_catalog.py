@@ -138,26 +138,26 @@ def _fold_boxplot(spark, folder):
     return round_doubles(metrics.fold_boxplot(scores))
 
 
-def _one_model(spark, folder, name):
-    predictions = ms.cross_validate(
-        cleaned(spark, folder), MODEL_COLUMNS, RESPONSE, models={name: ms.MODELS[name]}
-    )
-    return predictions.select("fold", "id", "y", "yhat")
+_PREDICTIONS: dict[tuple[str, str, str, str], DataFrame] = {}
 
 
-@query("cart_predict")
-def _cart_predict(spark, folder):
-    return _one_model(spark, folder, "CART")
+def _predictions(spark, folder, name, features="normalised") -> DataFrame:
+    """Cross-validated predictions of one model, written once per session."""
+    key = (spark.sparkContext.applicationId, folder, name, features)
+    if key not in _PREDICTIONS:
+        _PREDICTIONS[key] = ms.cross_validate(
+            cleaned(spark, folder), MODEL_COLUMNS, RESPONSE, features, {name: ms.MODELS[name]}
+        )
+    return _PREDICTIONS[key]
 
 
-@query("rf_predict")
-def _rf_predict(spark, folder):
-    return _one_model(spark, folder, "RF")
+def _one_model(spark, folder, name):
+    return _predictions(spark, folder, name).select("fold", "id", "y", "yhat")
 
 
-@query("svm_predict")
-def _svm_predict(spark, folder):
-    return _one_model(spark, folder, "SVM")
+def _all_models(spark, folder, features):
+    frames = [_predictions(spark, folder, name, features) for name in ms.MODELS]
+    return metrics.fold_metrics(metrics.union_all(frames))
 
 
 @query("mlp_predict")
@@ -170,13 +170,11 @@ def _mlp_predict(spark, folder):
 
 @query("model_metrics")
 def _model_metrics(spark, folder):
-    """All models on row-normalised features: fold values and their mean."""
-    predictions = ms.cross_validate(cleaned(spark, folder), MODEL_COLUMNS, RESPONSE)
-    return round_doubles(metrics.fold_metrics(predictions))
+    """All models on row-normalised features: every fold."""
+    return round_doubles(_all_models(spark, folder, "normalised"))
 
 
 @query("model_metrics_pca")
 def _model_metrics_pca(spark, folder):
-    """All models on principal components."""
-    predictions = ms.cross_validate(cleaned(spark, folder), MODEL_COLUMNS, RESPONSE, "pca")
-    return round_doubles(metrics.model_means(metrics.fold_metrics(predictions)))
+    """All models on principal components: means over the folds."""
+    return round_doubles(metrics.model_means(_all_models(spark, folder, "pca")))

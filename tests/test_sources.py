@@ -1,6 +1,6 @@
 import pytest
 
-from pavilion.functions.columns import six_digits
+from pavilion.functions.columns import rounded
 from pavilion.functions.sizing import broadcast_if_small, input_bytes
 from pavilion.functions.staging import scratch_path, stage
 from pavilion.sources import readers, schemas, writers
@@ -55,8 +55,8 @@ def test_stage_knows_its_size(spark):
     assert broadcast_if_small(staged, 1) is staged
 
 
-def test_six_digits_treats_halves_alike(spark):
+def test_rounding_treats_halves_alike(spark):
     from pyspark.sql import functions as F
 
     df = spark.createDataFrame([(0.0000005,), (-0.0000005,), (10.717187499999999,)], "x double")
-    assert [r[0] for r in df.select(six_digits(F.col("x"))).collect()] == [0.000001, 0.0, 10.717188]
+    assert [r[0] for r in df.select(rounded(F.col("x"))).collect()] == [0.000001, 0.0, 10.717188]
