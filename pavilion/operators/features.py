@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pavilion.functions.sizing import pick_strategy
+from pavilion.functions.staging import stage
 from pavilion.operators.prior import prior_stats
 
 # Which output column averages which innings or match column.
@@ -102,9 +104,13 @@ def game_form(games: DataFrame, strategy: str = "auto") -> DataFrame:
     """Per match, home rates from earlier home games and away rates from away games."""
     shown = ["id", "season", "date", "city", "Home_team", "Away_team", "Home_Team_Win"]
     away_inputs = [f"Away_{c}" for c in SIDE_RATES.values()]
-    home = side_rates(games, "Home", [*shown, *away_inputs], strategy)
+    chosen = pick_strategy(games, strategy)
+    home = side_rates(games, "Home", [*shown, *away_inputs], chosen)
+    if chosen == "distributed":
+        # The second pass reads its input twice.
+        home = stage(home, "home-rates")
     home_outputs = [f"Home_{c}" for c in SIDE_RATES]
-    both = side_rates(home, "Away", [*shown, *home_outputs], strategy)
+    both = side_rates(home, "Away", [*shown, *home_outputs], chosen)
     return both.withColumnRenamed("Home_Team_Win", "Home_team_Win")
 
 

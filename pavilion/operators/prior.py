@@ -2,14 +2,15 @@
 
 ``window`` is the plain running window, one task per key. ``distributed`` gives
 the same values when single keys are far too large for that. It cuts the order
-(day, id) into blocks of ids within a day, which needs no sampling, because ids
-are unique per key: a block can never hold more rows than its span of ids. Sums
-then flow from days to blocks to rows:
+(day, id) into days, wide blocks of ids within a day and narrow blocks within a
+wide one, which needs no sampling, because ids are unique per key: a block can
+never hold more rows than its span of ids. Sums then flow from days to rows:
 
-    value(row) = earlier days + earlier blocks of the day + earlier rows of the block
+    value(row) = earlier days + earlier wide blocks of the day
+               + earlier narrow blocks of the wide one + earlier rows of the narrow one
 
-Each of the three windows is bounded: by the number of days, by the number of
-blocks (highest id / block span) and by the block span.
+Every window is bounded, whatever the skew of keys, days or ids: by the number of
+days, by 2^23 wide blocks, by 2^20 narrow blocks and by 2^20 rows.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ from pyspark.sql import functions as F
 
 from pavilion.functions.sizing import pick_strategy
 
-BLOCK_BITS = 20
+# Widths of the blocks of ids, as powers of two, widest first.
+BLOCK_BITS = (40, 20)
 
 
 def prior_stats(
@@ -33,7 +35,7 @@ def prior_stats(
     counts: Mapping[str, str] | None = None,
     keep: Mapping[str, str] | None = None,
     strategy: str = "auto",
-    block_bits: int = BLOCK_BITS,
+    block_bits: Sequence[int] = BLOCK_BITS,
 ) -> DataFrame:
     """Average and count earlier rows of the same key, in the order (day, row_id).
 
@@ -77,12 +79,11 @@ def _block_sums(df, keys, day, row_id, averages, counts, keep, block_bits) -> Da
     # A column that is only counted has no sum, so it may be of any type.
     tracked = [s for s, m in zip(sums, measures) if m in summed] + sizes
 
-    day_keys = [*keys, "at_day"]
-    block_keys = [*day_keys, "at_block"]
+    places = ["at_day", *[f"at_block_{b}" for b in block_bits]]
     rows = df.select(
         *[F.col(k) for k in keys],
         F.col(day).alias("at_day"),
-        F.shiftright(F.col(row_id), block_bits).alias("at_block"),
+        *[F.shiftright(F.col(row_id), b).alias(f"at_block_{b}") for b in block_bits],
         F.col(row_id).alias("at_id"),
         *[F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep.values())],
         *[
@@ -101,18 +102,37 @@ def _block_sums(df, keys, day, row_id, averages, counts, keep, block_bits) -> Da
         )
         return [F.coalesce(F.sum(c).over(window), F.lit(0)).alias(f"before_{c}") for c in tracked]
 
-    blocks = rows.groupBy(*block_keys).agg(*[F.sum(c).alias(c) for c in tracked])
-    days = blocks.groupBy(*day_keys).agg(*[F.sum(c).alias(c) for c in tracked])
-    day_start = days.select(*day_keys, *before(keys, "at_day")).alias("d")
-    block_start = blocks.select(*block_keys, *before(day_keys, "at_block")).alias("b")
-    start = block_start.join(day_start, _match(day_keys, "b", "d")).select(
-        *[F.col(f"b.{k}") for k in block_keys],
-        *[(F.col(f"b.before_{c}") + F.col(f"d.before_{c}")).alias(f"start_{c}") for c in tracked],
-    )
+    # Totals per narrow block, then per wider block, up to the day.
+    totals = []
+    below = rows
+    for depth in range(len(places), 0, -1):
+        below = below.groupBy(*keys, *places[:depth]).agg(*[F.sum(c).alias(c) for c in tracked])
+        totals.append(below)
+
+    # From the day down: what lies before each block.
+    start = None
+    for depth, total_of in enumerate(reversed(totals), 1):
+        outer = [*keys, *places[: depth - 1]]
+        level = total_of.select(*outer, places[depth - 1], *before(outer, places[depth - 1]))
+        if start is not None:
+            level = (
+                level.alias("l")
+                .join(start.alias("u"), _match(outer, "l", "u"))
+                .select(
+                    *[F.col(f"l.{k}") for k in [*outer, places[depth - 1]]],
+                    *[
+                        (F.col(f"l.before_{c}") + F.col(f"u.before_{c}")).alias(f"before_{c}")
+                        for c in tracked
+                    ],
+                )
+            )
+        start = level
+
+    block_keys = [*keys, *places]
     located = (
         rows.alias("r")
         .join(start.alias("s"), _match(block_keys, "r", "s"))
-        .select("r.*", *[F.col(f"s.start_{c}") for c in tracked])
+        .select("r.*", *[F.col(f"s.before_{c}").alias(f"start_{c}") for c in tracked])
     )
     inside = located.select("*", *before(block_keys, "at_id"))
 

@@ -22,7 +22,7 @@ def brute(rows):
     return out
 
 
-def run(df, strategy, bits=20):
+def run(df, strategy, bits=(40, 20)):
     out = prior_stats(
         df, ["team"], "day", "id", {"avg_runs": "runs", "avg_wickets": "wickets"}, {"played": "id"},
         strategy=strategy, block_bits=bits,
@@ -46,7 +46,7 @@ def table(seed, n=120, hot=0.5):
     ]
 
 
-@pytest.mark.parametrize("strategy,bits", [("window", 20), ("distributed", 20), ("distributed", 6)])
+@pytest.mark.parametrize("strategy,bits", [("window", (40, 20)), ("distributed", (40, 20)), ("distributed", (8, 4)), ("distributed", (6,))])
 def test_equals_brute_force(spark, strategy, bits):
     rows = table(7)
     assert run(spark.createDataFrame(rows, SCHEMA), strategy, bits) == brute(rows)
