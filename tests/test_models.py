@@ -44,6 +44,14 @@ def test_fewer_training_rows_than_neighbours(spark):
         assert neighbours.nearest_neighbours(train, test, 5, strategy, 2).count() == 15
 
 
+def test_equal_training_rows_are_limited_before_the_shuffle(spark):
+    df, *_ = labelled(spark)
+    limited = neighbours.lowest_of_equal(neighbours._rows(df, "train_id"), 5)
+    text = limited._jdf.queryExecution().executedPlan().toString()
+    assert text.index("WindowGroupLimit") < text.index("Exchange") < text.rindex("WindowGroupLimit")
+    assert limited.groupBy("vector").count().agg(F.max("count")).head()[0] == 5
+
+
 def test_vote_takes_the_lower_label_on_a_tie(spark):
     rows = [(1, 0.0), (1, 1.0), (2, 1.0), (2, 1.0), (2, 0.0)]
     out = neighbours.vote(spark.createDataFrame(rows, "test_id long, label double")).collect()
@@ -138,9 +146,10 @@ def test_cross_validation_predicts_every_row_once(spark):
         "RF": lambda a, b, k: model_selection.MODELS["RF"](a, b, k, trees=5, max_depth=3),
         "SVM": lambda a, b, k: model_selection.MODELS["SVM"](a, b, k, size=40),
     }
-    for features in ("normalised", "pca"):
-        out = model_selection.cross_validate(df, ["a", "b"], "won", features, models, folds=2)
-        assert out.count() == 5 * 150 and out.select("model", "id").distinct().count() == 5 * 150
+    for features, used in (("normalised", models), ("pca", {k: models[k] for k in ("LDA", "KNN")})):
+        out = model_selection.cross_validate(df, ["a", "b"], "won", features, used, folds=2)
+        rows = len(used) * 150
+        assert out.count() == rows and out.select("model", "id").distinct().count() == rows
         for row in metrics.model_means(metrics.fold_metrics(out)).where("metric = 'accuracy'").collect():
             assert row.mean_value > 0.65, (features, row)
     shared = model_selection.cross_validate(
