@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from pavilion.functions.columns import round_doubles, to_long
 from pavilion.functions.staging import scratch_path
@@ -13,7 +12,6 @@ from pavilion.operators import (
     buckets,
     cleaning,
     correlation,
-    features,
     innings,
     logit,
     pairs,

@@ -1,7 +1,6 @@
 """Buckets, response analysis, correlation, logit and cleaning against numpy and pandas."""
 
 import math
-import random
 
 import numpy as np
 import pandas as pd
