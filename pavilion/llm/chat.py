@@ -77,15 +77,14 @@ def role_of(mark: Column) -> Column:
 
 def parsed(formatted: Column) -> Column:
     """The turns found in a formatted conversation, or null where the grammar is broken."""
-    marks = F.regexp_extract_all(formatted, F.lit(f"({CONTROL})"), F.lit(1))
-    texts = F.split(formatted, CONTROL, -1)
-    count = F.floor(F.size(marks) / F.lit(2)).cast("int")
+    marks = F.regexp_extract_all(formatted, F.lit(f"({CONTROL})"), F.lit(1)).alias("mark")
+    texts = F.slice(F.split(formatted, CONTROL, -1), 2, 1 << 30).alias("text")
+    # a text follows each mark; those behind closing marks are empty. Both lists are made
+    # once: inside a lambda they would be made again for each turn.
+    openings = F.filter(F.arrays_zip(marks, texts), lambda _, i: i % 2 == 0)
     turn = F.transform(
-        F.sequence(F.lit(0), count - 1),
-        lambda i: F.struct(
-            role_of(F.get(marks, i * 2)).alias("role"),
-            unescaped(F.get(texts, i * 2 + 1)).alias("text"),
-        ),
+        openings,
+        lambda x: F.struct(role_of(x["mark"]).alias("role"), unescaped(x["text"]).alias("text")),
     )
     return F.when(
         formatted == "", F.array().cast("array<struct<role:string,text:string>>")
