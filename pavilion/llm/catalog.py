@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pavilion.llm import chat, contamination, html_text, mixing, search, sharding, toxicity
+from pavilion.llm import (
+    byte_repeats,
+    chat,
+    contamination,
+    html_text,
+    mixing,
+    search,
+    sharding,
+    toxicity,
+    word_repeats,
+)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +29,16 @@ def op1_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return search.top_k(rows.where("vec_id % 100 = 0"), rows, k=10)
 
 
+def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without repeated strings of 100 bytes."""
+    return byte_repeats.remove_repeats(table(spark, folder, "documents"))
+
+
+def op4_block_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without repeated windows of 20 words."""
+    return word_repeats.remove_repeats(table(spark, folder, "documents"))
+
+
 def op5_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     """Words of each document in a mix of 150% with weights 3, 1, 2."""
     return mixing.mix_documents(table(spark, folder, "documents"))
@@ -55,6 +75,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f.__name__: f
         for f in (
             op1_exact_top_k,
+            op3_suffix_dedup,
+            op4_block_dedup,
             op5_mix_sources,
             op6_decontaminate,
             op7_shard,
