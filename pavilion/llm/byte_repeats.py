@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from pavilion.llm import homes as H
-from pavilion.llm.arrays import Texts, range_hashes, slices, sums
+from pavilion.llm.arrays import Texts, mixed, range_hashes, slices, sums
 
 WINDOW = 100
 ANCHOR = 28
@@ -81,9 +81,9 @@ def anchors_of(texts: Texts, window: int, anchor: int) -> Anchors:
     heads = H.heads_of(chosen)
     tails = np.append(heads, len(chosen))[1:] - 1
     place = chosen[heads] if len(heads) else chosen
-    return Anchors(
-        place, hashes[place] >> np.uint64(64 - H.KEY_BITS), starts[heads], starts[tails]
-    )
+    # anchors have small hashes: mixed again, their keys spread evenly over buckets
+    key = mixed(hashes[place] + np.uint64(1)) >> np.uint64(64 - H.KEY_BITS)
+    return Anchors(place, key, starts[heads], starts[tails])
 
 
 def send_anchors(home: pa.Table, window: int, anchor: int, buckets: int) -> pa.Table:
