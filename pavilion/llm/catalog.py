@@ -11,6 +11,7 @@ from pavilion.llm import (
     chat,
     contamination,
     html_text,
+    jaccard_join,
     mixing,
     search,
     sharding,
@@ -29,6 +30,12 @@ def op1_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return search.top_k(rows.where("vec_id % 100 = 0"), rows, k=10)
 
 
+def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose sets of 4-word shingles are 85% alike."""
+    docs = table(spark, folder, "documents")
+    return jaccard_join.near_duplicates(docs, 4, jaccard_join.Threshold(85, 100))
+
+
 def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Documents without repeated strings of 100 bytes."""
     return byte_repeats.remove_repeats(table(spark, folder, "documents"))
@@ -75,6 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f.__name__: f
         for f in (
             op1_exact_top_k,
+            op2_jaccard_join,
             op3_suffix_dedup,
             op4_block_dedup,
             op5_mix_sources,

@@ -20,9 +20,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -187,37 +189,52 @@ def regions(texts: Texts, index: Index, q: int = Q) -> list[tuple[int, int, int,
     return out
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = RATE) -> DataFrame:
-    """A row per document and benchmark item that it contains, with the best place."""
-    spark = docs.sparkSession
-    sized = benchmark.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
-    blocks = max(1, -(-sized // BLOCK_BYTES))
-    found = None
+def indexes(benchmark: DataFrame, q: int = Q, rate: float = RATE) -> Iterator[Broadcast]:
+    """Broadcast indexes of the benchmark, block after block of about ``BLOCK_BYTES``."""
+    context = benchmark.sparkSession.sparkContext
+    n_bytes = benchmark.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
+    blocks = max(1, -(-n_bytes // BLOCK_BYTES))
     for block in range(blocks):
         chosen = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block
-        # one block: about BLOCK_BYTES
         rows = benchmark.where(chosen).select("item_id", "text").collect()
         index = build_index([r["item_id"] for r in rows], [r["text"] for r in rows], q, rate)
-        shared = spark.sparkContext.broadcast(index)
+        yield context.broadcast(index)
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = RATE) -> DataFrame:
+    """A row per document and benchmark item that it contains, with the best place."""
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
+    names = ("doc_id", "item_id", "edits", "start_byte", "end_byte")
 
-        def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+    def scan(shared: Broadcast) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = shared.value
             for batch in batches:
                 ids, rows = batch.column(0), []
                 for texts in slices(batch.column(1)):
                     for d, i, *place in regions(texts, index, q):
                         rows.append((ids[texts.first + d].as_py(), index.ids[i], *place))
-                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
-                names = ("doc_id", "item_id", "edits", "start_byte", "end_byte")
                 columns = [pa.array([r[c] for r in rows], t) for c, t in enumerate(kinds)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-        part = docs.select("doc_id", "text").mapInArrow(scan, SCHEMA)
-        found = part if found is None else found.unionByName(part)
-    return found
+        return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+
+    return reduce(DataFrame.unionByName, map(scan, indexes(benchmark, q, rate)))
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = RATE) -> DataFrame:
+    """The rows whose text holds no benchmark passage, in all their columns; no shuffle."""
+    at = docs.columns.index("text")
+
+    def keep(rest: DataFrame, shared: Broadcast) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            index = shared.value
+            for batch in batches:
+                clean = np.ones(batch.num_rows, bool)
+                for texts in slices(batch.column(at)):
+                    clean[[texts.first + d for d, *_ in regions(texts, index, q)]] = False
+                yield batch.filter(pa.array(clean))
 
+        return rest.mapInArrow(run, docs.schema)
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows whose text holds no benchmark passage, in all their columns."""
-    bad = leaks(docs, benchmark).select(F.col("doc_id").alias("_leaking")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_leaking"]), "left_anti")
+    return reduce(keep, indexes(benchmark, q, rate), docs)

@@ -210,3 +210,31 @@ def mix_documents(docs: DataFrame, plan: MixPlan | None = None) -> DataFrame:
         .select("doc_id", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"))
     )
     return with_words.unionByName(empty)
+
+
+def mixed_rows(docs: DataFrame, plan: MixPlan | None = None) -> DataFrame:
+    """The documents of the mix, in all columns: a row per epoch that takes most of one.
+
+    A document counts as taken in an epoch if the mix takes at least half of its words
+    there. Equal rows share what is taken of them evenly.
+    """
+    key = F.xxhash64("doc_id", "text")
+    size = word_count(F.col("text"))
+    keyed = docs.select(key.alias("doc_id"), "source", size.alias("size"))
+    sized = stage(with_source_key(keyed).drop("source"), "mix-sizes")
+    parts = mix(sized, plan or MixPlan()).parts
+    words = F.sum(F.col("to_word") - F.col("from_word"))
+    whole = parts.groupBy(*SOURCE, "start", "epoch", "doc_id", "size").agg(words.alias("taken"))
+    copies = whole.groupBy("doc_id").agg(
+        F.count_distinct("start").alias("rows"),
+        F.sum(F.when(F.col("taken") * 2 >= F.col("size"), 1).otherwise(0)).alias("taken"),
+    )
+    copies = copies.select(
+        F.col("doc_id").alias("_key"), F.round(F.col("taken") / F.col("rows")).cast("int").alias("_copies")
+    ).where("_copies > 0")
+    return (
+        docs.withColumn("_key", key)
+        .join(copies, "_key")
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+        .select(*docs.columns)
+    )

@@ -103,3 +103,12 @@ def shard_documents(docs: DataFrame, shards: int = 24, seed: int = 0) -> DataFra
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+def sharded_rows(docs: DataFrame, shards: int = 24, seed: int = 0) -> DataFrame:
+    """The rows with their shard and slot, in all columns."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    measured = docs.withColumns(
+        {"_size": F.octet_length(text), "_crc32": F.crc32(text.cast("binary"))}
+    )
+    return shard(measured, "doc_id", ["_size", "_crc32"], shards, seed).drop("_size", "_crc32")
