@@ -1,6 +1,7 @@
 """Texts of an Arrow column as one byte array, and hashes of all their windows.
 
-Everything works on slices of a few megabytes with array operations; positions in a slice
+Everything works on slices of half a megabyte with array operations, which keeps the memory
+of a worker small; positions in a slice
 never cross documents. Hashes are polynomials modulo 2**64, mixed at the end.
 """
 
@@ -13,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 BASE = np.uint64(0x9E3779B97F4A7C15)
 # odd, and inverse to BASE modulo 2**64
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from pavilion.functions.staging import stage
 
+SALTS = 16
+
 
 def components(links: DataFrame) -> DataFrame:
     """``id`` and ``component`` (the least id) of every node of ``links`` (``a``, ``b``)."""
@@ -38,7 +40,11 @@ def components(links: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    # the centre of a star has very many neighbours: they are dealt to several tasks
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    larger = both.where("v > u").withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+    joined = larger.join(least.withColumn("salt", salts), ["u", "salt"])
+    return joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

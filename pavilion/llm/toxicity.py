@@ -132,7 +132,7 @@ class Lexicon:
         """The best term of a word and its edits; the word in lower case."""
         if word in self.known:
             return self.known[word]
-        if len(self.known) > 500_000:
+        if len(self.known) > 100_000:
             self.known.clear()
         state, best = 0, None
         for c in word:
@@ -288,8 +288,8 @@ class Model:
     scale: np.ndarray
     weights: np.ndarray
 
-    def scores(self, texts: list[str | None], lexicon: Lexicon) -> np.ndarray:
-        x = np.array([features(t, lexicon) for t in texts]).reshape(-1, FEATURES)
+    def scores(self, texts: pa.Array, lexicon: Lexicon) -> np.ndarray:
+        x = np.array([features(t.as_py(), lexicon) for t in texts]).reshape(-1, FEATURES)
         z = ((x - self.mean) / self.scale) @ self.weights[:-1] + self.weights[-1]
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
@@ -328,7 +328,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(model.terms)
         for batch in batches:
-            scores = model.scores(batch.column(2).to_pylist(), lexicon)
+            scores = model.scores(batch.column(2), lexicon)
             predicted = pa.array((scores >= 0.5).astype(np.int32))
             columns = [batch.column(0), batch.column(1), pa.array(scores), predicted]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "score", "predicted"])
@@ -345,7 +345,7 @@ def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(model.terms)
         for batch in batches:
-            scores = model.scores(batch.column(at).to_pylist(), lexicon)
+            scores = model.scores(batch.column(at), lexicon)
             yield batch.filter(pa.array(scores < 0.5))
 
     return docs.mapInArrow(run, docs.schema)
