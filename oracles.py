@@ -32,8 +32,8 @@ PAIRS = list(combinations(FEATURES, 2))
 
 
 def r6(expression: str) -> str:
-    """Six decimals; the limit just under one half makes exact halves go up."""
-    return f"floor(({expression}) * 1e6::DOUBLE + 0.501::DOUBLE) / 1e6::DOUBLE"
+    """Six decimals, halves up; within a millionth below counts as half."""
+    return f"floor(({expression}) * 1e6::DOUBLE + 0.500001::DOUBLE) / 1e6::DOUBLE"
 
 
 def r6_as(columns: str) -> str:
@@ -190,7 +190,7 @@ final_diff AS MATERIALIZED (
 
 def _r8(column: str) -> str:
     """Eight decimals: averages that differ only by the order of their sums become equal."""
-    return f"floor({column} * 1e8::DOUBLE + 0.501::DOUBLE) / 1e8::DOUBLE"
+    return f"floor({column} * 1e8::DOUBLE + 0.500001::DOUBLE) / 1e8::DOUBLE"
 
 
 _NOT_NULL = " AND ".join(f"{c} IS NOT NULL" for c in ALL_18)
@@ -347,7 +347,7 @@ FROM apart a JOIN apart b USING (id), freedom GROUP BY a.dim, b.dim"""
 near AS (
   SELECT t.id, s.label, row_number() OVER (
            PARTITION BY t.id ORDER BY list_distance(t.e, s.e), s.id) AS place
-  FROM points t JOIN points s ON t.fold = 0 AND s.fold <> 0),
+  FROM points t JOIN points s ON s.fold <> t.fold),
 votes AS (SELECT id, label, count(*) AS n FROM near WHERE place <= 5 GROUP BY id, label)
 SELECT id, arg_min(label, -n * 1000000 + label)::INTEGER AS yhat FROM votes GROUP BY id"""
     q["knn_predict_cells"] = q["knn_predict"]

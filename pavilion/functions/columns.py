@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+HALF = 0.500001
+
 
 def indicator(condition: Column) -> Column:
     """1 where the condition holds, 0 where it is false or NULL."""
@@ -25,14 +27,16 @@ def plain_name(column: Column) -> Column:
 
 
 def rounded(column: Column, digits: int = 6) -> Column:
-    """Round by plain double arithmetic; NaN stays NaN.
+    """Round halves up by plain double arithmetic, at any size; NaN and infinity stay.
 
-    The limit lies a little under one half, so that a value exactly halfway goes up
-    even when its last binary digit depends on the order of a sum.
+    Half means within a millionth of a unit below it, as the last binary digits of a sum
+    depend on its order. Values so large that they have no such digits stay as they are.
     """
     scale = F.lit(10.0**digits)
-    near = F.floor(column * scale + F.lit(0.501)) / scale
-    return F.when(F.isnan(column), column).otherwise(near)
+    above = column * scale + F.lit(HALF)
+    nearest = F.rint(above)
+    down = nearest - F.when(nearest > above, F.lit(1.0)).otherwise(F.lit(0.0))
+    return F.when(F.abs(above) < F.lit(2.0**52), down / scale).otherwise(column)
 
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:

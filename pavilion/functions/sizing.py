@@ -1,8 +1,8 @@
 """Size checks: what may be broadcast, and what fits one window partition.
 
-The bound is the sum of the bytes of every relation a DataFrame reads. All
-operators here keep or reduce rows, so a small bound proves a small result; an
-unknown size counts as large and takes the distributed way.
+The bound is the sum of the bytes of every relation a DataFrame reads, as stored; an
+unknown size counts as large and takes the distributed way. Tables turned long have a
+known number of rows per row read, and a limit leaves room for that and for compression.
 """
 
 from __future__ import annotations

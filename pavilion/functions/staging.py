@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pavilion.functions.sizing import is_small
+from pavilion.functions.sizing import input_bytes
+
+LEAST_PARTITIONS = 8
+PARTITION_BYTES = 64 * 1024 * 1024
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,13 +33,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Put a small table on all cores, for work that is heavy per row.
+    """Deal a table to partitions that depend on its rows and size alone.
 
-    A large one already has many partitions and is not shuffled.
+    Models that draw samples per partition are then the same on any number of cores.
     """
-    if not is_small(df):
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    size = input_bytes(df)
+    parts = LEAST_PARTITIONS
+    if math.isfinite(size):
+        parts = max(parts, math.ceil(size / PARTITION_BYTES))
+    row = F.xxhash64(*df.columns)
+    return df.repartition(parts, row).sortWithinPartitions(row)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

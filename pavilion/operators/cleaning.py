@@ -41,7 +41,3 @@ def zscore_filter(df: DataFrame, columns: Sequence[str], limit: float = Z_LIMIT)
         keep = keep & F.coalesce(F.abs(z) < limit, F.lit(False))
     return scored.where(keep).drop("moments")
 
-
-def clean(df: DataFrame, columns: Sequence[str], limit: float = Z_LIMIT) -> DataFrame:
-    """Complete rows without outliers."""
-    return zscore_filter(drop_nulls(df, columns), columns, limit)

@@ -69,11 +69,13 @@ def name_sides(parts: DataFrame, sides: DataFrame) -> DataFrame:
 def roll_up(parts: DataFrame) -> DataFrame:
     """One row per (match, batting team): totals, conditional counts and ratios.
 
-    A count with no matching ball is NULL, so that later averages skip the match.
+    A count with no matching ball is NULL, so that later averages skip the match. Counts
+    of balls without a batting team are NULL as well: they belong to no team.
     """
 
     def known(name: str) -> Column:
-        return F.nullif(F.sum(name), F.lit(0))
+        of_team = F.when(F.col("batting_team").isNotNull(), F.col(name))
+        return F.nullif(F.sum(of_team), F.lit(0))
 
     totals = parts.groupBy(*INNINGS_KEYS).agg(
         F.min("inning").alias("inning"),

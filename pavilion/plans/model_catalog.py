@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pavilion.functions.columns import round_doubles
 from pavilion.operators import discriminant, importance, metrics, neighbours, vectors
-from pavilion.operators.folds import fold_of, with_folds
+from pavilion.operators.folds import FOLDS, fold_of, with_folds
 from pavilion.plans import model_selection as ms
 from pavilion.plans.catalog import ORDER, TRAIN_ROWS, cleaned, query
 from pavilion.sources.schemas import DIFF_FEATURES, KEY_COLUMNS, RESPONSE
@@ -74,22 +76,30 @@ def _lda_covariance(spark, folder):
     return round_doubles(discriminant.pooled_covariance(_embeddings(spark, folder)))
 
 
-def _embedding_folds(spark, folder):
+def _each_fold(spark, folder, fit_predict):
+    """Predictions of every fold by a model of the other folds."""
     rows = _embeddings(spark, folder)
-    train = rows.where(F.col("fold") != 0).drop("fold")
-    return train, rows.where(F.col("fold") == 0).drop("fold")
+    parts = []
+    for fold in range(FOLDS):
+        train = rows.where(F.col("fold") != fold).drop("fold")
+        parts.append(fit_predict(train, rows.where(F.col("fold") == fold).drop("fold")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("lda_predict")
 def _lda_predict(spark, folder):
-    train, test = _embedding_folds(spark, folder)
-    scored = discriminant.fit_predict(train, test, ["id", "label"])
+    scored = _each_fold(
+        spark, folder, lambda train, test: discriminant.fit_predict(train, test, ["id", "label"])
+    )
     return scored.select("id", F.col("label").cast("int"), F.col("yhat").cast("int"))
 
 
 def _knn(spark, folder, strategy):
-    train, test = _embedding_folds(spark, folder)
-    scored = neighbours.knn_predict(train, test, ["id"], strategy=strategy)
+    scored = _each_fold(
+        spark,
+        folder,
+        lambda train, test: neighbours.knn_predict(train, test, ["id"], strategy=strategy),
+    )
     return scored.select("id", F.col("yhat").cast("int"))
 
 

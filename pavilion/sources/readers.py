@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,6 +60,11 @@ def read_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
-    """The exported feature table; team ids are cast strictly, so bad text fails."""
+    """The exported feature table; team ids are cast strictly, so bad or missing ids fail."""
     raw = read_tsv(spark, path, schemas.FINAL_DIFF)
-    return raw.withColumns({c: F.col(c).cast("int") for c in ("Home_team", "Away_team")})
+
+    def known(name: str) -> Column:
+        missing = F.raise_error(F.lit(f"missing {name}")).cast("int")
+        return F.coalesce(F.col(name).cast("int"), missing)
+
+    return raw.withColumns({c: known(c) for c in ("Home_team", "Away_team")})

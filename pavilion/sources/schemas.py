@@ -64,7 +64,6 @@ DIFF_FEATURES = [
     "AVG_Bat_Won",
     "AVG_Wins",
 ]
-RATIO_FEATURES = [f for f in DIFF_FEATURES if f not in ("Net_Run_Rate", "Bo_Econ")]
 KEY_COLUMNS = ["id", "season", "Home_team", "Away_team"]
 RESPONSE = "Home_team_Win"
 

@@ -60,3 +60,24 @@ def test_rounding_treats_halves_alike(spark):
 
     df = spark.createDataFrame([(0.0000005,), (-0.0000005,), (10.717187499999999,)], "x double")
     assert [r[0] for r in df.select(rounded(F.col("x"))).collect()] == [0.000001, 0.0, 10.717188]
+
+
+def test_rounding_at_any_size(spark):
+    from pyspark.sql import functions as F
+
+    values = [1e11, 2.5e13, -3e13, float("inf"), -1e300, 1.2345674995, 2.5e-7]
+    df = spark.createDataFrame([(v,) for v in values], "x double").coalesce(1)
+    for digits in (6, 8):
+        found = [r[0] for r in df.select(rounded(F.col("x"), digits)).collect()]
+        assert found[:5] == values[:5]
+    assert [r[0] for r in df.select(rounded(F.col("x"))).collect()][5:] == [1.234567, 0.0]
+    nan = spark.createDataFrame([(float("nan"),)], "x double").select(rounded(F.col("x")))
+    assert nan.head()[0] != nan.head()[0]
+
+
+def test_spread_does_not_depend_on_the_partitions_before(spark):
+    from pavilion.functions.staging import spread
+
+    rows = spark.range(500)
+    parts = [spread(rows.repartition(n)).rdd.glom().collect() for n in (1, 4)]
+    assert parts[0] == parts[1]
