@@ -14,7 +14,6 @@ from pavilion.operators.buckets import WIDTH_BUCKETS, equal_width_long
 # Histogram bin width and number of density points.
 BIN_WIDTH = 0.2
 DENSITY_POINTS = 500
-# Beyond this many bandwidths a Gaussian adds less than one unit in the last place.
 # Beyond this many bandwidths exp(-u * u / 2) is 0 in double arithmetic: nothing is cut.
 DENSITY_REACH = 39.0
 
@@ -175,10 +174,15 @@ def class_density(
 
 def linear_trend(df: DataFrame, columns: Sequence[str], response: str) -> DataFrame:
     """Least-squares line of the response on each feature; NULL for a constant feature."""
-    long = to_long(df, [response], columns)
     y = F.col(response).cast("double")
-    return long.groupBy("feature").agg(
-        F.regr_slope(y, F.col("x")).alias("slope"),
-        F.regr_intercept(y, F.col("x")).alias("intercept"),
-        F.regr_r2(y, F.col("x")).alias("r2"),
-    )
+
+    def line(name: str) -> Column:
+        x = F.col(name).cast("double")
+        return F.struct(
+            F.lit(name).alias("feature"),
+            F.regr_slope(y, x).alias("slope"),
+            F.regr_intercept(y, x).alias("intercept"),
+            F.regr_r2(y, x).alias("r2"),
+        )
+
+    return df.agg(F.array(*[line(c) for c in columns]).alias("lines")).select(F.inline("lines"))
