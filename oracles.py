@@ -292,6 +292,13 @@ logit AS (
   SELECT feature, b0 AS intercept, b1 AS slope, sqrt(h00 / (h00 * h11 - h01 * h01)) AS std_error,
          b1 / sqrt(h00 / (h00 * h11 - h01 * h01)) AS t_value
   FROM state_{steps + 1})""")
+    # Two-sided p: Simpson's rule for the normal density from 0 to |z|, in 2,000 steps.
+    parts.append("""
+tails AS (
+  SELECT feature, 1 - sqrt(2 / pi()) * any_value(abs(t_value)) / 6000
+         * sum(CASE WHEN k IN (0, 2000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END
+               * exp(-0.5::DOUBLE * (abs(t_value) * k / 2000) ** 2)) AS p_value
+  FROM logit, range(2001) s(k) GROUP BY feature)""")
     return ",\n".join(parts)
 
 
@@ -352,6 +359,32 @@ votes AS (SELECT id, label, count(*) AS n FROM near WHERE place <= 5 GROUP BY id
 SELECT id, arg_min(label, -n * 1000000 + label)::INTEGER AS yhat FROM votes GROUP BY id"""
     q["knn_predict_cells"] = q["knn_predict"]
 
+    q["lda_weights"] = f"""WITH {cells}
+SELECT label, dim::INTEGER AS dim, {r6_as('mean')} FROM means"""
+    q["pca_reconstruction"] = f"""WITH {CLEANED}, raw AS MATERIALIZED ({_long(MODEL_16, 'cleaned', 'id')})
+SELECT a.feature AS feature_1, b.feature AS feature_2, {r6('coalesce(corr(a.x, b.x), 0)')} AS correlation
+FROM raw a JOIN raw b USING (id) GROUP BY ALL"""
+    q["model_support"] = f"""WITH {CLEANED},
+runs AS (
+  SELECT features, model FROM (VALUES ('normalised'), ('pca')) f(features),
+         (VALUES ('LDA'), ('KNN'), ('CART'), ('RF'), ('SVM')) m(model))
+SELECT features, model, ({FOLD})::INTEGER AS fold, count(*) AS rows,
+       count(*) FILTER (Home_team_Win = 1) AS wins
+FROM cleaned, runs GROUP BY ALL"""
+    q["cart_stump"] = f"""WITH {LONGS}, {RANKED},
+splits AS (
+  SELECT t.feature, t.place, b.v AS bucket,
+         count(*) FILTER (t.bucket <= b.v) AS rows_low,
+         count(*) FILTER (t.bucket <= b.v AND Home_team_Win = 1) AS wins_low,
+         count(*) FILTER (t.bucket > b.v) AS rows_high,
+         count(*) FILTER (t.bucket > b.v AND Home_team_Win = 1) AS wins_high
+  FROM tenths t, range(9) b(v) GROUP BY t.feature, t.place, b.v),
+impure AS (
+  SELECT *, 2 * wins_low * (1 - wins_low / rows_low) + 2 * wins_high * (1 - wins_high / rows_high) AS impurity
+  FROM splits)
+SELECT feature, bucket::INTEGER AS bucket, rows_low, wins_low, rows_high, wins_high
+FROM impure ORDER BY impurity, place, bucket LIMIT 1"""
+
     metrics = f"""rule AS (
   SELECT id, ({FOLD})::INTEGER AS fold, Home_team_Win AS y, (AVG_Wins > 0)::INTEGER AS yhat,
          AVG_Wins AS score FROM cleaned),
@@ -522,6 +555,11 @@ SELECT feature, {r6('regr_slope(Home_team_Win::DOUBLE, x)')} AS slope,
        {r6('regr_r2(Home_team_Win::DOUBLE, x)')} AS r2
 FROM long GROUP BY feature"""
     q["univariate_logit"] = f"""WITH {LONGS}, {NEWTON}
-SELECT feature, {r6_as('intercept slope std_error t_value')} FROM logit"""
+SELECT feature, {r6_as('intercept slope std_error t_value p_value')} FROM logit JOIN tails USING (feature)"""
+    q["feature_ranking"] = f"""WITH {LONGS}, {EIGHTHS}, {NEWTON}
+SELECT feature, {r6_as('t_value p_value mean_sq_diff mean_sq_diff_weighted')}
+FROM feature_msd JOIN logit USING (feature) JOIN tails USING (feature)"""
+    q["split_from_tsv"] = q["chrono_split"]
+    q["report_roundtrip"] = q["pair_report"]
     q.update(model_texts())
     return q

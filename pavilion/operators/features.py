@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pavilion.functions.sizing import pick_strategy
 from pavilion.functions.staging import stage
 from pavilion.operators.prior import prior_stats
+from pavilion.sources.schemas import KEY_COLUMNS, RESPONSE
 
 # Which output column averages which innings or match column.
 BATTING_FORM = {
@@ -57,7 +58,7 @@ FEATURE_SOURCE = {
     "AVG_Wins": "Avg_Wins",
 }
 NO_RATIO = ("Net_Run_Rate", "Bo_Econ")
-FINAL_KEYS = ["id", "season", "Home_team", "Away_team", "Home_team_Win"]
+FINAL_KEYS = [*KEY_COLUMNS, RESPONSE]
 
 
 def batting_form(innings: DataFrame, strategy: str = "auto") -> DataFrame:

@@ -6,6 +6,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml.feature import (
     PCA,
     ElementwiseProduct,
@@ -135,3 +136,21 @@ def loadings_table(df: DataFrame, parts: Components, columns: Sequence[str]) ->
         (k, c, parts.loadings[k][i]) for k in range(parts.kept) for i, c in enumerate(columns)
     ]
     return df.sparkSession.createDataFrame(rows, schema)
+
+
+def rebuilt_correlation(df: DataFrame, parts: Components, columns: Sequence[str]) -> DataFrame:
+    """Correlation of every pair of features from all components of standardised vectors.
+
+    Each component adds its variance times both loadings; the variances of standardised
+    features sum to the number of features that are not constant.
+    """
+    loadings = np.array(parts.loadings)
+    shares = loadings.T @ np.diag(parts.ratios) @ loadings
+    varying = np.count_nonzero(np.diag(shares) > 1e-12)
+    matrix = shares * varying
+    rows = [
+        (a, b, float(matrix[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns)
+    ]
+    return df.sparkSession.createDataFrame(
+        rows, "feature_1 string, feature_2 string, correlation double"
+    )

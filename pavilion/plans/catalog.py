@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pavilion.functions.columns import round_doubles, to_long
 from pavilion.functions.staging import scratch_path
@@ -19,13 +20,13 @@ from pavilion.operators import (
     response,
 )
 from pavilion.plans import reports
-from pavilion.plans.feature_table import EXPORTED, FeatureTable
+from pavilion.plans.feature_table import EXPORTED, FeatureTable, clean_features
 from pavilion.sources import readers, star_schema, writers
-from pavilion.sources.schemas import DIFF_FEATURES, KEY_COLUMNS, RESPONSE
+from pavilion.sources.schemas import DIFF_FEATURES, KEY_COLUMNS, ORDER_KEY, RESPONSE
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-ORDER = ["date", "id"]
+ORDER = ORDER_KEY
 SIDE_KEYS = ["match_id", "inning", "batting_team", "bowling_team"]
 # Fixed value: length of the training part of the chronological split.
 TRAIN_ROWS = 550
@@ -202,9 +203,22 @@ def _head5(spark, folder):
 
 @query("tsv_roundtrip")
 def _tsv_roundtrip(spark, folder):
+    return round_doubles(_exported(spark, folder).select(*EXPORTED))
+
+
+def _exported(spark, folder):
+    """The feature table as a later program finds it: exported in order and read back."""
     path = scratch_path(spark, "final-diff-tsv")
-    writers.write_tsv(table(spark, folder).final_diff.select(*EXPORTED), path)
-    return round_doubles(readers.read_features(spark, path))
+    final = table(spark, folder).final_diff.select(*EXPORTED, "date")
+    writers.write_tsv(final, path, ORDER)
+    return readers.read_features(spark, path)
+
+
+@query("split_from_tsv")
+def _split_from_tsv(spark, folder):
+    rows = clean_features(_exported(spark, folder))
+    split = positions.chronological_split(rows, ORDER, TRAIN_ROWS)
+    return split.select("id", "position", "split")
 
 
 @query("table_roundtrip")
@@ -308,8 +322,9 @@ def _ols_trend(spark, folder):
 
 @query("univariate_logit")
 def _univariate_logit(spark, folder):
-    fit = logit.univariate_logit(cleaned(spark, folder), DIFF_FEATURES, RESPONSE)
-    return round_doubles(fit.drop("p_value"))
+    return round_doubles(
+        logit.univariate_logit(cleaned(spark, folder), DIFF_FEATURES, RESPONSE)
+    )
 
 
 # Pairs of features
@@ -333,7 +348,8 @@ def _grid_pivot(spark, folder):
 
 @query("corr_pairs")
 def _corr_pairs(spark, folder):
-    return round_doubles(correlation.correlation_pairs(cleaned(spark, folder), DIFF_FEATURES))
+    pairs_of = correlation.correlation_pairs(cleaned(spark, folder), DIFF_FEATURES)
+    return round_doubles(pairs_of.orderBy(F.desc("correlation"), *pairs.PAIR_KEYS))
 
 
 @query("corr_matrix")
@@ -352,6 +368,19 @@ def _pair_report(spark, folder):
     )
 
 
+@query("feature_ranking")
+def _feature_ranking(spark, folder):
+    return round_doubles(reports.feature_ranking(cleaned(spark, folder), DIFF_FEATURES, RESPONSE))
+
+
+@query("report_roundtrip")
+def _report_roundtrip(spark, folder):
+    path = scratch_path(spark, "reports")
+    pair = reports.pair_report(cleaned(spark, folder), DIFF_FEATURES, RESPONSE, ORDER)
+    writers.write_reports({"pairs": pair}, path)
+    return round_doubles(readers.read_table(spark, f"{path}/pairs"))
+
+
 @query("feature_report")
 def _feature_report(spark, folder):
     return round_doubles(reports.feature_report(cleaned(spark, folder), DIFF_FEATURES, RESPONSE))

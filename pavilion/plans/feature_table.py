@@ -22,6 +22,17 @@ FEATURE_DIGITS = 8
 EXPORTED = [*KEY_COLUMNS, RESPONSE, *DIFF_FEATURES]
 
 
+def clean_features(final_diff: DataFrame) -> DataFrame:
+    """Complete feature rows without outliers: what the analyses and models read.
+
+    Rounding makes averages equal that differ only by the order of their sums,
+    so that ranks and buckets do not depend on how the data was partitioned.
+    """
+    complete = round_doubles(cleaning.drop_nulls(final_diff, EXPORTED), FEATURE_DIGITS)
+    kept = cleaning.zscore_filter(stage(complete, "complete"), EXPORTED)
+    return stage(spread(kept), "cleaned")
+
+
 class FeatureTable:
     """The chain of tables; each property is one table.
 
@@ -120,14 +131,7 @@ class FeatureTable:
 
     @cached_property
     def cleaned(self) -> DataFrame:
-        """Complete feature rows without outliers: what the analyses and models read.
-
-        Rounding makes averages equal that differ only by the order of their sums,
-        so that ranks and buckets do not depend on how the data was partitioned.
-        """
-        complete = round_doubles(cleaning.drop_nulls(self.final_diff, EXPORTED), FEATURE_DIGITS)
-        kept = cleaning.zscore_filter(stage(complete, "complete"), EXPORTED)
-        return stage(spread(kept), "cleaned")
+        return clean_features(self.final_diff)
 
     @cached_property
     def final_ratio(self) -> DataFrame:

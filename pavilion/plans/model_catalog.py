@@ -9,7 +9,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pavilion.functions.columns import round_doubles
-from pavilion.operators import discriminant, importance, metrics, neighbours, vectors
+from pavilion.operators import (
+    buckets,
+    classifiers,
+    discriminant,
+    importance,
+    metrics,
+    neighbours,
+    vectors,
+)
 from pavilion.operators.folds import FOLDS, fold_of, with_folds
 from pavilion.plans import model_selection as ms
 from pavilion.plans.catalog import ORDER, TRAIN_ROWS, cleaned, query
@@ -61,6 +69,12 @@ def _pca_loadings(spark, folder):
     return round_doubles(vectors.loadings_table(scores, parts, MODEL_COLUMNS))
 
 
+@query("pca_reconstruction")
+def _pca_reconstruction(spark, folder):
+    parts, (scores,) = _components(spark, folder)
+    return round_doubles(vectors.rebuilt_correlation(scores, parts, MODEL_COLUMNS))
+
+
 @query("fold_assignment")
 def _fold_assignment(spark, folder):
     return cleaned(spark, folder).select("id", fold_of(F.col("id")).alias("fold"))
@@ -71,6 +85,11 @@ def _lda_means(spark, folder):
     return round_doubles(discriminant.class_means(_embeddings(spark, folder)))
 
 
+@query("lda_weights")
+def _lda_weights(spark, folder):
+    return round_doubles(discriminant.weighted_covariance(_embeddings(spark, folder)))
+
+
 @query("lda_covariance")
 def _lda_covariance(spark, folder):
     return round_doubles(discriminant.pooled_covariance(_embeddings(spark, folder)))
@@ -166,8 +185,7 @@ def _one_model(spark, folder, name):
 
 
 def _all_models(spark, folder, features):
-    frames = [_predictions(spark, folder, name, features) for name in ms.MODELS]
-    return metrics.fold_metrics(metrics.union_all(frames))
+    return _scores([_predictions(spark, folder, name, features) for name in ms.MODELS])
 
 
 @query("cart_predict")
@@ -185,12 +203,50 @@ def _svm_predict(spark, folder):
     return _one_model(spark, folder, "SVM")
 
 
+_NETS: dict[tuple[str, str], ms.NetRun] = {}
+
+
+def _net(spark, folder) -> ms.NetRun:
+    """The held-out net, trained once per session."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _NETS:
+        _NETS[key] = ms.held_out_net(
+            cleaned(spark, folder), MODEL_COLUMNS, RESPONSE, ORDER, TRAIN_ROWS
+        )
+    return _NETS[key]
+
+
 @query("mlp_predict")
 def _mlp_predict(spark, folder):
-    predictions, _ = ms.held_out_net(
-        cleaned(spark, folder), MODEL_COLUMNS, RESPONSE, ORDER, TRAIN_ROWS
-    )
-    return predictions
+    return _net(spark, folder).predictions
+
+
+@query("net_accuracy")
+def _net_accuracy(spark, folder):
+    return round_doubles(ms.accuracy(_net(spark, folder).predictions))
+
+
+@query("net_history")
+def _net_history(spark, folder):
+    return round_doubles(_net(spark, folder).history)
+
+
+FEATURE_SETS = ["normalised", "pca"]
+
+
+def _both_sets(spark, folder, report):
+    """A report on all models for each feature set, with the set's name."""
+    frames = [
+        report([_predictions(spark, folder, name, features) for name in ms.MODELS]).select(
+            F.lit(features).alias("features"), "*"
+        )
+        for features in FEATURE_SETS
+    ]
+    return round_doubles(metrics.union_all(frames))
+
+
+def _scores(frames):
+    return metrics.fold_metrics(metrics.union_all(frames))
 
 
 @query("model_metrics")
@@ -201,5 +257,36 @@ def _model_metrics(spark, folder):
 
 @query("model_metrics_pca")
 def _model_metrics_pca(spark, folder):
-    """All models on principal components: means over the folds."""
-    return round_doubles(metrics.model_means(_all_models(spark, folder, "pca")))
+    """All models on principal components: every fold."""
+    return round_doubles(_all_models(spark, folder, "pca"))
+
+
+@query("model_means")
+def _model_means(spark, folder):
+    return _both_sets(spark, folder, lambda frames: metrics.model_means(_scores(frames)))
+
+
+@query("model_boxplot")
+def _model_boxplot(spark, folder):
+    return _both_sets(spark, folder, lambda frames: metrics.fold_boxplot(_scores(frames)))
+
+
+@query("model_support")
+def _model_support(spark, folder):
+    """Predicted rows and wins of every model and fold."""
+
+    def support(frames):
+        return metrics.union_all(frames).groupBy(*metrics.GROUP).agg(
+            F.count("yhat").alias("rows"), F.count_if(F.col("y") == 1).alias("wins")
+        )
+
+    return _both_sets(spark, folder, support)
+
+
+@query("cart_stump")
+def _cart_stump(spark, folder):
+    """The first split of a tree on equal-count buckets."""
+    bucketed = buckets.with_equal_count_buckets(
+        cleaned(spark, folder), DIFF_FEATURES, ORDER, prefix=""
+    )
+    return classifiers.best_split(bucketed, DIFF_FEATURES, RESPONSE)

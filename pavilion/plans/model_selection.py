@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
+from pyspark.ml import Transformer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pavilion.functions.staging import spread, stage
 from pavilion.operators import classifiers, discriminant, neighbours, vectors
@@ -16,6 +17,8 @@ from pavilion.operators.positions import chronological_split
 
 FitPredict = Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame]
 KEEP = ["id", "label"]
+# Training of the net halts after this many steps, to measure accuracy.
+NET_EVERY = 10
 
 MODELS: Mapping[str, FitPredict] = {
     "LDA": discriminant.fit_predict,
@@ -83,32 +86,52 @@ def cross_validate(
     return union_all(out)
 
 
+@dataclass(frozen=True)
+class NetRun:
+    """Held-out predictions, and (step, loss, train_accuracy, test_accuracy) while training."""
+
+    predictions: DataFrame
+    history: DataFrame
+
+
 def held_out_net(
     df: DataFrame,
     columns: Sequence[str],
     response: str,
     order: Sequence[str],
     n_train: int,
+    steps: int = classifiers.NET_STEPS,
+    every: int = NET_EVERY,
     **options: object,
-) -> tuple[DataFrame, DataFrame]:
+) -> NetRun:
     """Train the net on the first rows in time and predict the rest.
 
-    Returns the predictions and the loss after each training step.
+    Training halts every few steps, to measure both parts, and goes on from the weights
+    reached; the optimiser then gathers curvature anew.
     """
     placed = stage(chronological_split(df, order, n_train), "split")
     labelled = placed.withColumn("label", F.col(response).cast("double"))
-    ready = normalised(labelled, columns, [*KEEP, "split"])
+    ready = stage(normalised(labelled, columns, [*KEEP, "split"]), "net-input")
     train = spread(ready.where(F.col("split") == "train").drop("split")).persist()
     test = ready.where(F.col("split") == "test").drop("split")
-    model = classifiers.net_model(train, **options)
-    history = [(i, float(v)) for i, v in enumerate(model.summary().objectiveHistory)]
-    predictions = model.transform(test).select(
+    weights, done, history = None, 0, []
+    while done < steps:
+        size = min(every, steps - done)
+        model = classifiers.net_model(train, steps=size, weights=weights, **options)
+        weights, done = model.weights, done + size
+        loss = float(model.summary().objectiveHistory[-1])
+        shares = [accuracy(net_predictions(model, part)).head()["accuracy"] for part in (train, test)]
+        history.append((done, loss, *shares))
+    predictions = stage(net_predictions(model, test), "net-predictions")
+    train.unpersist()
+    schema = "step int, loss double, train_accuracy double, test_accuracy double"
+    return NetRun(predictions, df.sparkSession.createDataFrame(history, schema))
+
+
+def net_predictions(model: Transformer, df: DataFrame) -> DataFrame:
+    return model.transform(df).select(
         "id", F.col("label").cast("int").alias("y"), F.col("prediction").cast("int").alias("yhat")
     )
-    schema = T.StructType(
-        [T.StructField("step", T.IntegerType()), T.StructField("loss", T.DoubleType())]
-    )
-    return predictions, df.sparkSession.createDataFrame(history, schema)
 
 
 def accuracy(predictions: DataFrame) -> DataFrame:

@@ -59,9 +59,14 @@ def read_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     )
 
 
-def read_features(spark: SparkSession, path: str) -> DataFrame:
-    """The exported feature table; team ids are cast strictly, so bad or missing ids fail."""
-    raw = read_tsv(spark, path, schemas.FINAL_DIFF)
+def read_features(
+    spark: SparkSession, path: str, schema: T.StructType = schemas.DATED_DIFF
+) -> DataFrame:
+    """The exported feature table; team ids are cast strictly, so bad or missing ids fail.
+
+    Its date and id give the order of the rows.
+    """
+    raw = read_tsv(spark, path, schema)
 
     def known(name: str) -> Column:
         missing = F.raise_error(F.lit(f"missing {name}")).cast("int")

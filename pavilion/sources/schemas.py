@@ -64,6 +64,7 @@ DIFF_FEATURES = [
     "AVG_Bat_Won",
     "AVG_Wins",
 ]
+# Key columns and response of the exported table.
 KEY_COLUMNS = ["id", "season", "Home_team", "Away_team"]
 RESPONSE = "Home_team_Win"
 
@@ -80,3 +81,7 @@ FINAL_DIFF = T.StructType(
         for f in DIFF_FEATURES
     ]
 )
+
+# The export carries its order: rows are sorted by date and id.
+ORDER_KEY = ["date", "id"]
+DATED_DIFF = T.StructType([*FINAL_DIFF.fields, T.StructField("date", T.DateType())])

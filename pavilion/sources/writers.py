@@ -13,10 +13,15 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     return df.sparkSession.read.parquet(path)
 
 
-def write_tsv(df: DataFrame, path: str) -> None:
-    """Tab-separated text with a header row and the word NULL for missing values."""
+def write_tsv(df: DataFrame, path: str, order: Sequence[str] = ()) -> None:
+    """Tab-separated text with a header row and the word NULL for missing values.
+
+    With an ``order`` the rows are sorted by range over all executors: the files in
+    name order hold them in that order.
+    """
+    rows = df.orderBy(*order) if order else df
     (
-        df.write.mode("overwrite")
+        rows.write.mode("overwrite")
         .options(sep="\t", header=True, nullValue="NULL")
         .csv(path)
     )

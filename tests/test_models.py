@@ -162,13 +162,15 @@ def test_held_out_net(spark):
     rng = np.random.default_rng(3)
     rows = [(i, i % 7, int(i % 2), float(rng.normal() + 3 * (i % 2)), 1.0) for i in range(120)]
     df = spark.createDataFrame(rows, "id long, day int, won int, a double, b double")
-    predictions, history = model_selection.held_out_net(
-        df, ["a", "b"], "won", ["day", "id"], 90, hidden=[6], steps=30
+    run = model_selection.held_out_net(
+        df, ["a", "b"], "won", ["day", "id"], 90, hidden=[6], steps=25
     )
-    assert predictions.count() == 30
-    losses = [r.loss for r in history.orderBy("step").collect()]
-    assert losses[-1] < losses[0]
-    assert model_selection.accuracy(predictions).head().accuracy > 0.7
+    assert run.predictions.count() == 30
+    curve = run.history.orderBy("step").collect()
+    assert [r.step for r in curve] == [10, 20, 25]
+    assert curve[-1].loss < curve[0].loss
+    held_out = model_selection.accuracy(run.predictions).head().accuracy
+    assert held_out > 0.7 and held_out == curve[-1].test_accuracy
 
 
 def test_forest_importance(spark):

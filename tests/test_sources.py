@@ -4,18 +4,21 @@ from pavilion.functions.columns import rounded
 from pavilion.functions.sizing import broadcast_if_small, input_bytes
 from pavilion.functions.staging import scratch_path, stage
 from pavilion.sources import readers, schemas, writers
-from fixtures import match, matches, teams
+from fixtures import day, match, matches, teams
 
 
 def feature_row(i, value):
-    return (i, 2020, "1", "2", 1, *[3 if f == "matchplayed" else value for f in schemas.DIFF_FEATURES])
+    features = [3 if f == "matchplayed" else value for f in schemas.DIFF_FEATURES]
+    return (i, 2020, "1", "2", 1, *features, day(10 - i))
 
 
 def test_tsv_keeps_nulls_and_doubles(spark):
-    df = spark.createDataFrame([feature_row(1, 0.1 + 0.2), feature_row(2, None)], schemas.FINAL_DIFF)
+    df = spark.createDataFrame([feature_row(1, 0.1 + 0.2), feature_row(2, None)], schemas.DATED_DIFF)
     path = scratch_path(spark, "tsv")
-    writers.write_tsv(df, path)
-    assert any("NULL" in r.value for r in spark.read.text(path).collect())
+    writers.write_tsv(df, path, schemas.ORDER_KEY)
+    lines = [r.value for r in spark.read.text(path).collect()]
+    assert any("NULL" in line for line in lines)
+    assert [line[0] for line in lines if line[0].isdigit()] == ["2", "1"]
     back = readers.read_features(spark, path).orderBy("id").collect()
     assert back[0].Batting_Index == 0.1 + 0.2 and back[1].Batting_Index is None
     assert (back[0].Home_team, back[0].Away_team, back[1].matchplayed) == (1, 2, 3)
@@ -25,7 +28,7 @@ def test_bad_team_id_fails(spark):
     row = list(feature_row(1, 1.0))
     row[2] = "Reds"
     path = scratch_path(spark, "tsv")
-    writers.write_tsv(spark.createDataFrame([tuple(row)], schemas.FINAL_DIFF), path)
+    writers.write_tsv(spark.createDataFrame([tuple(row)], schemas.DATED_DIFF), path)
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         readers.read_features(spark, path).collect()
 
