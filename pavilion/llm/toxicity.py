@@ -1,10 +1,11 @@
 """Toxicity by a lexicon, misspellings of its terms, and their context.
 
-The lexicon holds a few given terms and those that labelled documents teach: whole words
-and stems (``abc*``) that are much more frequent in toxic documents. Its trie is
+The lexicon holds what labelled documents teach: whole words and stems (``abc*``) that are
+much more frequent in toxic documents; a word stays beside its stem. Its trie is
 intersected with Levenshtein automata: a state is a set of trie nodes with the edits
 spent on the way, computed once and kept, so a word costs one step per character until
-no term can be reached any more. Long terms allow an edit, stems none.
+no term can be reached any more. Long words allow an edit, stems none. Digits between
+letters belong to a word; where the whole has no term, its runs of letters are looked up.
 
 Around each hit, a window of words tells quotation from abuse: hits between quotation
 marks or near words of reporting count as quoted. A logistic model over sums, densities
@@ -13,8 +14,9 @@ documents, which all lie outside the held-out fold. Only the text enters a score
 
 Cases: null and empty texts have no hits and get the model's score for none; identifiers
 may be null or repeated; labels that are null, held out or without a document teach
-nothing; without both classes the share of toxic labels is the base score and the given
-terms decide; empty tables give an empty result; further columns are ignored.
+nothing; where labels teach no term, a few given ones stand in; without both classes the
+model is a fixed one over these; empty tables give an empty result; further columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -28,25 +30,27 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 FOLDS = 5
 # documents that teach; the least by hash of the identifier, so any run takes the same
 MAX_LABELLED = 10_000
+# words, and as many stems
 MAX_TERMS = 400
 LEAST_DOCS = 8
 LEAST_GAIN = 20.0
 LEAST_RATE = 0.4
 WINDOW = 6
-# fixed values: common English insults
+# fixed values: common English insults, for labels that teach no term
 GIVEN = "clown disgusting idiot loser moron pathetic scum stupid trash worthless".split()
 REPORTING = set(
     "said says say called calls calling word words term wrote writes quote quoted quotes "
     "sagte sagt wort mot dit dijo palabra".split()
 )
 QUOTES = "\"“”„«»‹›‘’'`"
-WORD = re.compile(r"[^\W\d_]+")
+LETTERS = re.compile(r"[^\W\d_]+")
+WORD = re.compile(r"[^\W\d_]+(?:\d+[^\W\d_]+)*")
 FEATURES = 9
 
 
@@ -57,8 +61,9 @@ def held_out(doc_id: Column) -> Column:
 
 
 def units(word: str) -> list[str]:
-    """What a word can teach: itself and its stems."""
-    return [word] + [word[:n] + "*" for n in range(4, min(9, len(word)))]
+    """What a word can teach: itself and its stems, and those of its runs of letters."""
+    runs = [] if word.isalpha() else LETTERS.findall(word)
+    return [u for w in [word, *runs] for u in [w] + [w[:n] + "*" for n in range(4, min(9, len(w)))]]
 
 
 @dataclass
@@ -69,6 +74,7 @@ class Lexicon:
     terms: list[str] = field(default_factory=list)
     trie: list[dict[str, int]] = field(default_factory=list)
     ends: list[int] = field(default_factory=list)
+    stems: list[int] = field(default_factory=list)
     budget: list[int] = field(default_factory=list)
     states: dict[frozenset, int] = field(default_factory=dict)
     sets: list[frozenset] = field(default_factory=list)
@@ -77,7 +83,7 @@ class Lexicon:
 
     def __post_init__(self) -> None:
         self.terms = sorted(self.weights)
-        self.trie, self.ends, self.budget = [{}], [-1], [0]
+        self.trie, self.ends, self.stems, self.budget = [{}], [-1], [-1], [0]
         for number, term in enumerate(self.terms):
             node, stem = 0, term.endswith("*")
             edits = 0 if stem or len(term) < 5 else 1
@@ -87,12 +93,11 @@ class Lexicon:
                     self.trie[node][c] = len(self.trie)
                     self.trie.append({})
                     self.ends.append(-1)
+                    self.stems.append(-1)
                     self.budget.append(0)
                 node = self.trie[node][c]
                 path.append(node)
-            # a stem does not replace the word of the same letters
-            if self.ends[node] < 0 or not stem:
-                self.ends[node] = number
+            (self.stems if stem else self.ends)[node] = number
             for n in path:
                 self.budget[n] = max(self.budget[n], edits)
         self._state(self._closed({(0, 0)}))
@@ -141,16 +146,17 @@ class Lexicon:
             if state < 0:
                 break
             for node, spent in self.sets[state]:
-                end = self.ends[node]
-                if end >= 0 and spent == 0 and self.terms[end].endswith("*"):
-                    best = (end, 0)
+                if self.stems[node] >= 0 and spent == 0:
+                    best = (self.stems[node], 0)
         if state >= 0:
-            for node, spent in sorted(self.sets[state], key=lambda p: -p[1]):
-                end = self.ends[node]
-                if end < 0 or self.terms[end].endswith("*"):
-                    continue
+            ends = [(spent, self.ends[node]) for node, spent in self.sets[state] if self.ends[node] >= 0]
+            for spent, end in sorted(ends, key=lambda p: (p[0], -self.weights[self.terms[p[1]]], p[1])):
                 if spent <= (1 if len(self.terms[end]) >= 5 else 0) and (best is None or spent == 0):
                     best = (end, spent)
+                    break
+        if best is None and not word.isalpha():
+            runs = [run for run in LETTERS.findall(word) if run != word]
+            best = min(filter(None, map(self.find, runs)), key=lambda hit: hit[1], default=None)
         self.known[word] = best
         return best
 
@@ -243,22 +249,28 @@ def choose_terms(counts: DataFrame, docs: int, toxic: int) -> dict[str, float]:
     rate = F.col("toxic") / F.col("docs")
     inside = F.when(rate > 0, rate * F.log(rate / base)).otherwise(0.0)
     outside = F.when(rate < 1, (1 - rate) * F.log((1 - rate) / (1 - base))).otherwise(0.0)
+    stem = F.col("unit").endswith("*")
+    ranks = Window.partitionBy("stem").orderBy(F.desc("gain"), F.length("unit"), "unit")
     ranked = (
         counts.where((F.col("docs") >= LEAST_DOCS) & (rate >= max(LEAST_RATE, min(0.9, 2 * base))))
-        .withColumn("gain", 2 * F.col("docs") * (inside + outside))
+        .withColumns({"gain": 2 * F.col("docs") * (inside + outside), "stem": stem})
         .where(F.col("gain") >= LEAST_GAIN)
-        .orderBy(F.desc("gain"), F.length("unit"), "unit")
-        .limit(4 * MAX_TERMS)
+        .withColumn("rank", F.row_number().over(ranks))
+        # of stems, shorter ones cover some
+        .where(F.col("rank") <= F.when(F.col("stem"), 4 * MAX_TERMS).otherwise(MAX_TERMS))
+        .orderBy("stem", "rank")
         .collect()
     )
     terms: dict[str, float] = {}
+    stems = 0
     for row in ranked:
         unit = row["unit"]
-        covered = any(unit[:n] + "*" in terms for n in range(4, len(unit)))
-        covered |= unit.endswith("*") and unit[:-1] in terms
-        if not covered and len(terms) < MAX_TERMS:
-            odds = (row["toxic"] + base) / (row["docs"] - row["toxic"] + 1 - base)
-            terms[unit] = max(0.1, math.log(odds) - math.log(base / (1 - base)))
+        if row["stem"]:
+            if stems == MAX_TERMS or any(unit[:n] + "*" in terms for n in range(4, len(unit) - 1)):
+                continue
+            stems += 1
+        odds = (row["toxic"] + base) / (row["docs"] - row["toxic"] + 1 - base)
+        terms[unit] = max(0.1, math.log(odds) - math.log(base / (1 - base)))
     return terms
 
 
@@ -299,8 +311,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     rows = teaching(docs, labels)
     size = rows.agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic")).first()
     n, toxic = size["n"], size["toxic"] or 0
-    given = {w: 4.0 for w in GIVEN}
-    terms = given | (choose_terms(term_counts(rows), n, toxic) if 0 < toxic < n else {})
+    taught = choose_terms(term_counts(rows), n, toxic) if 0 < toxic < n else {}
+    terms = taught or {w: 4.0 for w in GIVEN}
 
     def measure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lexicon = Lexicon(terms)

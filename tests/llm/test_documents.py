@@ -155,6 +155,27 @@ def test_automaton_finds_words_within_an_edit():
     assert [hit[w] for w in ("idoit", "scun", "abc", "")] == [None] * 4
 
 
+def test_words_stay_beside_their_stems():
+    lexicon = toxicity.Lexicon({"grumble": 1.0, "grum": 1.0, "grum*": 1.0})
+    hit = {w: lexicon.find(w) for w in ["grumble", "gumble", "grumbles", "grum", "gr0umble", "grumb0le", "gumble7grum", "x0y"]}
+    word, short, stem = (lexicon.terms.index(t) for t in ("grumble", "grum", "grum*"))
+    assert hit["grumble"] == (word, 0) and hit["gumble"] == hit["gr0umble"] == (word, 1)
+    assert hit["grum"] == hit["gumble7grum"] == (short, 0)
+    assert hit["grumbles"] == hit["grumb0le"] == (stem, 0) and hit["x0y"] is None
+
+
+def test_misspelt_terms_are_learnt_from_labels(spark):
+    rows = [(i, f"you grumbler number {'xyz'[i % 3]} of all", "s") for i in range(40)]
+    rows += [(i, "a calm day by the sea and all is well", "s") for i in range(40, 120)]
+    labels = spark.createDataFrame([(i, int(i < 40)) for i in range(120)], "doc_id long, toxic int")
+    model = toxicity.learn(documents(spark, rows), labels)
+    assert "grumbler" in model.terms and "idiot" not in model.terms
+    lexicon = toxicity.Lexicon(model.terms)
+    term = lexicon.terms.index("grumbler")
+    assert [lexicon.find(w) for w in ("grumbler", "gumbler", "gr0mbler")] == [(term, 0), (term, 1), (term, 1)]
+    assert toxicity.features("a gr0mbler", lexicon)[2] > 0
+
+
 def test_toxicity_on_held_out_documents(spark):
     docs, labels = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
     model = toxicity.learn(docs, labels)
