@@ -1,10 +1,12 @@
 """Mixing sources to target weights with a low-discrepancy schedule.
 
-The mix is a row of equal slots. Slot ``k`` has the point ``frac((k + 1/2) / golden
-ratio)``; the source whose interval of the cumulative weights holds the point fills the
-slot. Slots are ranked per source. A source's documents, shuffled by a hash, lie on a
-line of words, once per epoch, cut into blocks of the slots' length: the slot of rank
-``r`` takes block ``r``. Every prefix of the schedule is close to the target weights.
+The mix is a row of slots. A source has as many as its target, rounded to words, fills;
+all are of one length but its last, which holds the rest, so each source meets its target
+at any size. Slot ``k`` has the point ``frac((k + 1/2) / golden ratio)``; in the order of
+the points, each source in turn gets its number of slots. Slots are ranked per source. A
+source's documents, shuffled by a hash, lie on a line of words, once per epoch, cut into
+blocks of the slots' length: the slot of rank ``r`` takes block ``r``. Every prefix of the
+schedule is close to the target weights.
 
 Cases: a null text has no words and is never taken; a null source is a source of its own,
 last in order; equal rows are interchangeable; documents without words, empty tables and
@@ -52,7 +54,7 @@ def with_source_key(docs: DataFrame) -> DataFrame:
 
 
 def targets(sized: DataFrame, plan: MixPlan) -> DataFrame:
-    """One row per source: ``source_size`` and ``target``.
+    """One row per source: ``source_size``, ``target`` and ``goal``, the target in whole words.
 
     Targets are proportional to the weights up to a common level, where a source's own
     limit lies below. In order of limit by weight, the level that the sources not yet
@@ -83,7 +85,8 @@ def targets(sized: DataFrame, plan: MixPlan) -> DataFrame:
         .withColumn(
             "target", F.least("limit", F.coalesce("height", "ratio") * F.col("weight"))
         )
-        .select(*SOURCE, "source_size", "target", "documents")
+        .withColumn("goal", F.floor(F.col("target") + 0.5))
+        .select(*SOURCE, "source_size", "target", "goal", "documents")
     )
 
 
@@ -92,39 +95,40 @@ def block_words(total: float) -> int:
     return max(1, min(BLOCK_WORDS, int(total // LEAST_SLOTS)))
 
 
-def schedule(goals: DataFrame, slots: int) -> DataFrame:
+def slots_of(block: int) -> Column:
+    """How many slots a source fills; the last may be shorter."""
+    return F.ceil(F.col("goal") / F.lit(block))
+
+
+def schedule(goals: DataFrame, block: int, slots: int) -> DataFrame:
     """One row per slot: its source and ``block``, the rank among the source's slots.
 
-    Points and intervals of weights meet in equal cells of the unit line, with about
-    ``POINTS_PER_CELL`` points each. Ranks come from counts per range of slots, so no
-    window holds a whole source.
+    Places of points and of sources meet in cells of ``POINTS_PER_CELL`` places. Ranks
+    come from counts per range of slots, so no window holds a whole source.
     """
     spark = goals.sparkSession
-    cells = max(1, slots // POINTS_PER_CELL)
     order = Window.orderBy("source_null", "source_text")
-    whole = F.floor("target")
+    own = slots_of(block)
     bounds = goals.select(
-        *SOURCE,
-        (F.sum(whole).over(order) - whole).alias("low"),
-        F.sum(whole).over(order).alias("high"),
-        F.sum(whole).over(Window.partitionBy()).alias("all"),
+        *SOURCE, (F.sum(own).over(order) - own).alias("low"), F.sum(own).over(order).alias("high")
     ).where("high > low")
 
     def cell(at: Column) -> Column:
-        return F.least(F.floor(at / F.col("all") * cells), F.lit(cells - 1))
+        return F.floor(at / F.lit(POINTS_PER_CELL))
 
-    bounds = bounds.withColumn("cell", F.explode(F.sequence(cell(F.col("low")), cell(F.col("high")))))
+    bounds = bounds.withColumn("cell", F.explode(F.sequence(cell(F.col("low")), cell(F.col("high") - 1))))
     golden = (F.col("id") + 0.5) * GOLDEN
-    points = spark.range(slots).select(F.col("id").alias("slot"), (golden - F.floor(golden)).alias("point"))
-    points = points.withColumn("cell", F.least(F.floor(F.col("point") * cells), F.lit(cells - 1)))
-    at = F.floor(F.col("point") * F.col("all"))
-    near = F.explode(F.array("cell", F.col("cell") - 1, F.col("cell") + 1))
+    points = spark.range(slots).select(
+        F.col("id").alias("slot"),
+        F.floor((golden - F.floor(golden)) * 2.0**32).alias("point"),
+        F.lit(1).alias("one"),
+    )
+    placed = running_sum(points, [], "point", ["slot"], "one", "place", slots)
     filled = (
-        points.withColumn("cell", near)
+        placed.withColumn("cell", cell(F.col("place")))
         .join(bounds, "cell")
-        .where((at >= F.col("low")) & (at < F.col("high")))
+        .where("place >= low and place < high")
         .select(*SOURCE, "slot", F.shiftright("slot", 13).alias("range"))
-        .distinct()
     )
     counts = filled.groupBy(*SOURCE, "range").agg(F.count("*").alias("slots"))
     earlier = Window.partitionBy(*SOURCE).orderBy("range").rowsBetween(*BEFORE)
@@ -140,7 +144,7 @@ def schedule(goals: DataFrame, slots: int) -> DataFrame:
 
 
 def pieces(lined: DataFrame, block: int, epochs: int) -> DataFrame:
-    """Parts of documents by block: ``from_word`` to ``to_word`` of a document's epoch."""
+    """Parts of documents by block, up to the goal: ``from_word`` to ``to_word`` of an epoch."""
     begin = F.col("start") + F.col("epoch") * F.col("source_size")
     cut = F.col("block") * block
     first = F.floor(F.col("begin") / F.lit(block))
@@ -149,9 +153,13 @@ def pieces(lined: DataFrame, block: int, epochs: int) -> DataFrame:
         lined.where(F.col("size") > 0)
         .withColumn("epoch", F.explode(F.array(*[F.lit(e) for e in range(epochs)])))
         .withColumn("begin", begin)
+        .where("begin < goal")
         .withColumn("block", F.explode(F.sequence(first, last)))
         .withColumn("from_word", F.greatest("begin", cut) - F.col("begin"))
-        .withColumn("to_word", F.least(F.col("begin") + F.col("size"), cut + block) - F.col("begin"))
+        .withColumn(
+            "to_word", F.least(F.col("begin") + F.col("size"), cut + block, "goal") - F.col("begin")
+        )
+        .where("from_word < to_word")
         .drop("begin")
     )
 
@@ -176,17 +184,17 @@ def mix(sized: DataFrame, plan: MixPlan) -> Mix:
         F.sum("target").alias("words"), F.sum("documents").alias("rows"), F.count("*").alias("sources")
     ).first()
     block = block_words(facts["words"] or 0.0)
-    slots = int(-(-(facts["words"] or 0.0) // block))
+    slots = goals.agg(F.sum(slots_of(block))).first()[0] or 0
     few = facts["sources"] <= BROADCAST_SOURCES
-    per_source = goals.select(*SOURCE, "source_size", "target")
+    per_source = goals.select(*SOURCE, "source_size", "target", "goal")
     per_source = F.broadcast(per_source) if few else per_source
     hashed = sized.where("size > 0").withColumn("hashed", hash32("doc_id", "size"))
     lined = running_sum(
         hashed, SOURCE, "hashed", ["doc_id", "size"], "size", "start", facts["rows"] or 0
     ).drop("hashed")
     lined = lined.join(per_source, SOURCE)
-    parts = pieces(lined, block, plan.most_epochs).drop("source_size", "target")
-    return Mix(goals, lined, parts.join(schedule(goals, slots), [*SOURCE, "block"]))
+    parts = pieces(lined, block, plan.most_epochs).drop("source_size", "target", "goal")
+    return Mix(goals, lined, parts.join(schedule(goals, block, slots), [*SOURCE, "block"]))
 
 
 def sized_documents(docs: DataFrame) -> DataFrame:

@@ -64,6 +64,24 @@ def test_mixed_rows_follow_the_mix(spark):
     assert words == pytest.approx(1.5 * sum(len(t.split()) for _, t, _ in rows), rel=0.02)
 
 
+def test_small_sources_meet_their_targets_beside_large_ones(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "LEAST_SLOTS", 16)
+    sizes = {"a": 3, "b": 40, "big": 30_000, "c": 700, "d": 3_001}
+    rows = [(i, "w " * min(50, n - k), s) for s, n in sizes.items() for i, k in enumerate(range(0, n, 50))]
+    found = mixing.mix_documents(documents(spark, rows)).toPandas()
+    want = water_fill(sizes, (3, 1, 2))
+    for s, n in sizes.items():
+        part = found[found["source_size"] == n]
+        assert abs(part["taken"].sum() - want[s]) <= 0.5
+    goals = spark.createDataFrame([("a", False, 5), ("b", False, 995)], "source_text string, source_null boolean, goal long")
+    slots = mixing.schedule(goals, 10, 101).toPandas()
+    assert sorted(slots["slot"]) == list(range(101))
+    for s, part in slots.groupby("source_text"):
+        assert list(part.sort_values("slot")["block"]) == list(range(1 if s == "a" else 100))
+    kept = mixing.mixed_rows(documents(spark, rows)).groupBy("source").count().toPandas()
+    assert set(kept["source"]) == set(sizes)
+
+
 def test_mix_of_nothing(spark):
     assert mixing.mix_documents(documents(spark, [])).collect() == []
     found = mixing.mix_documents(documents(spark, [(1, None, "a"), (2, " ", None)])).collect()
