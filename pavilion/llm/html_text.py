@@ -4,8 +4,10 @@ A page is read into text nodes with their paths of tags from the root. Per path,
 length of text and the punctuation are added up over all nodes and divided by the number
 of nodes; both ratios are smoothed over neighbouring paths in page order and multiplied.
 Paths above the threshold are content. The deepest container that holds nearly all
-content is the article: its nodes are kept, so short headings and captions inside it are
-not lost, and everything in menus, notices, forms and the like is left out.
+content is the article, or an article, main or content container around it, if content or
+a heading stands beside: its nodes are kept, so short headings and captions inside it are
+not lost. Content outside it is kept too, with the headings before it. Everything in
+menus, notices, forms and the like is left out.
 
 Character references are decoded; white space inside a block becomes one blank; blocks
 are joined by one blank in page order.
@@ -64,6 +66,8 @@ ENDS_PARAGRAPH = set(
     "address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 "
     "header hr main nav ol p pre section table ul".split()
 )
+CONTENT_NAMES = set("article entry post content main".split())
+HEADING = re.compile(r"(^|/)h[1-6](/|$)")
 BARRIERS = {"ul", "ol", "dl", "table", "div", "section", "article", "body", "td", "th", "main"}
 COVER = 0.9
 THRESHOLD = 0.1
@@ -75,7 +79,7 @@ class Node:
     """One text node: its path, its containers, its block, whether it may be content."""
 
     path: str
-    boxes: tuple[tuple[int, str], ...]
+    boxes: tuple[tuple[int, str, bool], ...]
     block: int
     open: bool
     linked: bool
@@ -99,16 +103,24 @@ def unwanted(tag: str, name: str, inside_article: bool) -> bool:
         else:
             found = set(re.split(r"[\s_:-]+", value))
             if found & NAMES and name not in ("html", "body", "article", "main"):
-                if not found & {"article", "entry", "post", "content", "main"} or found & {
+                if not found & CONTENT_NAMES or found & {
                     "ad", "ads", "comment", "comments", "related", "share", "sidebar", "footer", "nav",
                 }:
                     return True
     return False
 
 
+def holds_content(tag: str, name: str) -> bool:
+    """Whether a container is meant for the main text."""
+    if name in ("article", "main"):
+        return True
+    labels = [v.strip("\"'").lower() for k, v in LABEL.findall(tag) if k.lower() in ("class", "id", "role")]
+    return name not in ("html", "body") and any(CONTENT_NAMES & set(re.split(r"[\s_:-]+", v)) for v in labels)
+
+
 def text_nodes(page: str) -> list[Node]:
     """The text nodes of a page in order."""
-    stack: list[tuple[str, bool, int]] = []
+    stack: list[tuple[str, bool, int, bool]] = []
     nodes: list[Node] = []
     block = serial = at = 0
 
@@ -117,7 +129,7 @@ def text_nodes(page: str) -> list[Node]:
         if not text:
             return
         tags = [s[0] for s in stack]
-        boxes = tuple((s[2], s[0]) for s in stack if s[0] in CONTAINERS)
+        boxes = tuple((s[2], s[0], s[3]) for s in stack if s[0] in CONTAINERS)
         path = "/".join(t for t in tags if t not in INLINE or t == "a")
         nodes.append(Node(path, boxes, block, all(s[1] for s in stack), "a" in tags, text))
 
@@ -155,7 +167,8 @@ def text_nodes(page: str) -> list[Node]:
             continue
         serial += 1
         inside = any(s[0] in ("article", "main") for s in stack)
-        stack.append((name, not unwanted(tag, name, inside), serial))
+        content = name in CONTAINERS and holds_content(tag, name)
+        stack.append((name, not unwanted(tag, name, inside), serial, content))
     if at < len(page):
         add(page[at:])
     return nodes
@@ -191,17 +204,18 @@ def path_scores(nodes: list[Node]) -> dict[str, float]:
 
 
 def content_nodes(nodes: list[Node]) -> list[Node]:
-    """Nodes of the article, by thresholded paths and the container around them."""
+    """Nodes above the threshold, their headings, and the rest of the container around them."""
     candidates = [n for n in nodes if n.open and n.text.strip()]
     if not candidates:
         return []
     scores = path_scores(candidates)
     least = THRESHOLD * max(scores.values())
-    weight: dict[tuple[int, str], float] = {}
-    depth: dict[tuple[int, str], int] = {}
+    above = {id(n) for n in candidates if scores[n.path] >= least}
+    weight: dict[tuple[int, str, bool], float] = {}
+    depth: dict[tuple[int, str, bool], int] = {}
     total = 0.0
     for n in candidates:
-        if scores[n.path] < least:
+        if id(n) not in above:
             continue
         worth = len(n.text.strip()) * (PRIOR if any(b[1] in ("article", "main") for b in n.boxes) else 1.0)
         total += worth
@@ -212,7 +226,16 @@ def content_nodes(nodes: list[Node]) -> list[Node]:
     if not covering:
         return candidates
     root = max(covering, key=lambda b: (depth[b], -b[0]))
-    return [n for n in candidates if root in n.boxes]
+    kept, before_content = set(above), False
+    for n in reversed(candidates):
+        if not HEADING.search(n.path):
+            before_content = id(n) in above
+        elif before_content and (not n.boxes or n.boxes[-1] in weight):
+            kept.add(id(n))
+    chain = next(n.boxes[: n.boxes.index(root)] for n in candidates if root in n.boxes)
+    beside = {b for n in candidates if id(n) in kept and root not in n.boxes for b in n.boxes}
+    root = next((b for b in chain if b[2] and b in beside), root)
+    return [n for n in candidates if id(n) in kept or root in n.boxes]
 
 
 def main_text(page: str | None) -> str:

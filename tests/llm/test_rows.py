@@ -98,6 +98,23 @@ def test_page_text():
     assert html_text.main_text(long).count("Some") == 20_000
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<article><h1>Title</h1><p>Lead, short.</p><div>{}</div></article>",
+        "<main><section><h2>Title</h2><p>Lead, short.</p></section><section>{}</section></main>",
+        "<div class=post><h2>Title</h2><p>Lead, short.</p><blockquote>{}</blockquote></div>",
+        "<div><h2>Title</h2><p>Lead, short and plain, with marks, to be kept.</p><div>{}</div></div>",
+    ],
+)
+def test_text_beside_a_long_container_is_kept(page):
+    rest = "<p>Some text, more of it.</p>" * 200
+    menu = "<nav><a href=/>Home</a></nav><div><h3>Latest</h3><ul><li><a href=/x>x</a></ul></div>"
+    found = html_text.main_text(f"<body>{menu}{page.format(rest)}</body>")
+    lead = re.search("<p>(.*?)</p>", page).group(1)
+    assert found == " ".join(["Title", lead] + ["Some text, more of it."] * 200)
+
+
 def test_pages_equal_their_articles(spark):
     pages = spark.read.parquet(f"{FOLDER}/pages.parquet")
     source = {r["page_id"]: r["html"] for r in pages.collect()}
