@@ -15,6 +15,8 @@ from pavilion.llm import (
     mixing,
     search,
     sharding,
+    simhash,
+    spellings,
     toxicity,
     word_repeats,
 )
@@ -77,6 +79,16 @@ def op10_format_chats(spark: SparkSession, folder: str) -> DataFrame:
     return chat.format_digests(chat.with_probe(table(spark, folder, "conversations")))
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all documents with their most frequent near word and its root."""
+    return spellings.spelling_variants(table(spark, folder, "documents"))
+
+
+def op13_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of all documents and their components at two differing bits."""
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -91,6 +103,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_extract_text,
             op9_toxicity,
             op10_format_chats,
+            op11_spelling_variants,
+            op13_simhash_dedup,
         )
     }
 
