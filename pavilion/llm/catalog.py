@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pavilion.llm import (
     byte_repeats,
     chat,
+    collocations,
     contamination,
     html_text,
     jaccard_join,
@@ -84,6 +85,11 @@ def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spellings.spelling_variants(table(spark, folder, "documents"))
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2,000 best phrases of each language by their weakest cut."""
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 def op13_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of all documents and their components at two differing bits."""
     return simhash.near_duplicates(table(spark, folder, "documents"))
@@ -104,10 +110,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op9_toxicity,
             op10_format_chats,
             op11_spelling_variants,
+            op12_collocations,
             op13_simhash_dedup,
         )
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_top_k": search.ORACLE, "op10_format_chats": chat.ORACLE}
+    return {
+        "op1_exact_top_k": search.ORACLE,
+        "op10_format_chats": chat.ORACLE,
+        "op12_collocations": collocations.ORACLE,
+    }
