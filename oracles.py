@@ -323,6 +323,137 @@ def _side_out(side: str) -> str:
 FOLD = "('0x' || substr(md5(id || ':42'), 1, 8))::BIGINT % 5"
 
 
+_RECURSIVE = "WITH RECURSIVE"
+
+
+def _components(size: int, sweeps: int = 10) -> str:
+    """Eigenpairs of the correlation matrix by cyclic rotations, each row of the recursion one."""
+    cells = ",\n".join(
+        "[" + ", ".join(f"coalesce(corr({a}::DOUBLE, {b}::DOUBLE), {int(a == b)})" for b in MODEL_16) + "]"
+        for a in MODEL_16
+    )
+    rotated = "list_transform({m}, lambda row: list_transform(row, lambda x, j: CASE j WHEN p THEN co * row[p] - si * row[q] WHEN q THEN si * row[p] + co * row[q] ELSE x END))"
+    return f"""start AS MATERIALIZED (SELECT [{cells}] AS a FROM cleaned),
+steps AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sweep, p, q) AS k, p, q
+  FROM (SELECT unnest(range({sweeps})) AS sweep), (SELECT unnest(range(1, {size})) AS p),
+       (SELECT unnest(range(2, {size + 1})) AS q)
+  WHERE p < q),
+turned AS (
+  SELECT 0::BIGINT AS k, a, list_transform(range(1, {size + 1}), lambda i:
+           list_transform(range(1, {size + 1}), lambda j: (i = j)::INTEGER::DOUBLE)) AS v FROM start
+  UNION ALL
+  SELECT k, list_transform(half, lambda row, i: CASE i
+             WHEN p THEN list_transform(row, lambda x, j: co * half[p][j] - si * half[q][j])
+             WHEN q THEN list_transform(row, lambda x, j: si * half[p][j] + co * half[q][j])
+             ELSE row END), w
+  FROM (
+    SELECT k, p, q, co, si, {rotated.format(m="a")} AS half, {rotated.format(m="v")} AS w
+    FROM (
+      SELECT *, 1 / sqrt(1 + t * t) AS co, t / sqrt(1 + t * t) AS si
+      FROM (
+        SELECT s.k, s.p, s.q, a, v,
+               CASE WHEN abs(a[s.p][s.q]) < 1e-300 THEN 0
+                    ELSE (CASE WHEN a[s.q][s.q] < a[s.p][s.p] THEN -1 ELSE 1 END)
+                         / (abs((a[s.q][s.q] - a[s.p][s.p]) / (2 * a[s.p][s.q]))
+                            + sqrt(1 + ((a[s.q][s.q] - a[s.p][s.p]) / (2 * a[s.p][s.q])) ** 2))
+                         * sign(a[s.p][s.q]) END AS t
+        FROM turned JOIN steps s ON s.k = turned.k + 1)))),
+eigen AS (
+  SELECT i, a[i][i] AS value, list_transform(v, lambda row: row[i]) AS axis
+  FROM (SELECT a, v FROM turned ORDER BY k DESC LIMIT 1), (SELECT unnest(range(1, {size + 1})) AS i)),
+shares AS (
+  SELECT (row_number() OVER (ORDER BY value DESC) - 1)::INTEGER AS component, axis,
+         value / sum(value) OVER () AS explained_ratio,
+         list_position(list_transform(axis, lambda x: abs(x)), list_max(list_transform(axis, lambda x: abs(x)))) AS largest
+  FROM eigen),
+kept AS (
+  SELECT * FROM (
+    SELECT *, sum(explained_ratio) OVER (ORDER BY component) AS cumulative_ratio FROM shares)
+  WHERE cumulative_ratio - explained_ratio <= 0.95)"""
+
+
+# Discriminant weights of each fold: the pooled matrix and the class means, reduced by rows.
+_DISCRIMINANT = """parts AS MATERIALIZED (
+  SELECT id, ('0x' || substr(md5(id || ':42'), 1, 8))::BIGINT % 5 AS part, label, dim, v FROM vectors),
+folds AS (SELECT unnest(range(5)) AS fold),
+centres AS MATERIALIZED (
+  SELECT fold, label, dim, avg(v) AS mean, count(*) AS n
+  FROM parts JOIN folds ON part <> fold GROUP BY fold, label, dim),
+gaps AS MATERIALIZED (
+  SELECT fold, id, label, dim, v - mean AS d
+  FROM parts JOIN folds ON part <> fold JOIN centres USING (fold, label, dim)),
+pooled AS MATERIALIZED (
+  SELECT x.fold, x.dim AS i, y.dim AS j, sum(x.d * y.d) AS s
+  FROM gaps x JOIN gaps y ON y.fold = x.fold AND y.id = x.id GROUP BY ALL),
+free AS (SELECT fold, count(DISTINCT id) - count(DISTINCT label) AS f FROM gaps GROUP BY fold),
+means_of AS (SELECT fold, dim AS i, list(mean ORDER BY label) AS right_side FROM centres GROUP BY fold, dim),
+rows_of AS (
+  SELECT p.fold, p.i, list(s / f ORDER BY j) || any_value(right_side) AS line
+  FROM pooled p JOIN free USING (fold) JOIN means_of m ON m.fold = p.fold AND m.i = p.i GROUP BY p.fold, p.i),
+reduced AS (
+  SELECT fold, 0::BIGINT AS k, list(line ORDER BY i) AS m FROM rows_of GROUP BY fold
+  UNION ALL
+  SELECT fold, k + 1, list_transform(m, lambda line, i: CASE WHEN i = k + 1 THEN top
+           ELSE list_transform(line, lambda x, j: x - line[k + 1] * top[j]) END)
+  FROM (SELECT fold, k, m, list_transform(m[k + 1], lambda x: x / m[k + 1][k + 1]) AS top
+        FROM reduced WHERE k < len(m))),
+solved AS MATERIALIZED (SELECT fold, m, len(m) AS d FROM reduced WHERE k = len(m)),
+classes AS (
+  SELECT fold, label, row_number() OVER (PARTITION BY fold ORDER BY label) AS place,
+         n / sum(n) OVER (PARTITION BY fold) AS prior, means
+  FROM (SELECT fold, label, max(n) AS n, list(mean ORDER BY dim) AS means FROM centres GROUP BY fold, label)),
+weights AS MATERIALIZED (
+  SELECT fold, label, list_transform(m, lambda line: line[d + place]) AS w, prior, means
+  FROM classes JOIN solved USING (fold)),
+points AS (SELECT id, part, label, list(v ORDER BY dim) AS x FROM parts GROUP BY id, part, label),
+best AS (
+  SELECT id, points.label, arg_max(w.label, ln(prior) + list_dot_product(x, w.w)
+           - 0.5 * list_dot_product(means, w.w)) AS yhat
+  FROM points JOIN weights w ON w.fold = points.part GROUP BY id, points.label)"""
+
+
+def _tree_levels(depth: int) -> str:
+    """Splits at the best of all values, level by level: ties by feature, then by value."""
+    place = " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(FEATURES))
+    parts = [
+        f"""entries AS MATERIALIZED (
+  SELECT id, feature, CASE feature {place} END AS place, x, Home_team_Win AS y FROM long)""",
+        "at_0 AS MATERIALIZED (SELECT id, 1::BIGINT AS node, Home_team_Win AS y FROM cleaned)",
+    ]
+    for i in range(depth):
+        parts.append(f"""sizes_{i} AS MATERIALIZED (
+  SELECT node, count(*) AS n, sum(y)::BIGINT AS won FROM at_{i} GROUP BY node),
+lists_{i} AS (
+  SELECT node, feature, place, x, count(*) AS c, sum(e.y) AS w
+  FROM entries e JOIN at_{i} USING (id) JOIN sizes_{i} s USING (node)
+  WHERE s.won > 0 AND s.won < s.n GROUP BY ALL),
+runs_{i} AS (
+  SELECT node, feature, place, x, lead(x) OVER ranks AS next_x,
+         (sum(c) OVER ranks)::DOUBLE AS l, (sum(w) OVER ranks)::DOUBLE AS lw
+  FROM lists_{i} WINDOW ranks AS (PARTITION BY node, feature, place ORDER BY x)),
+scored_{i} AS (
+  SELECT r.node, feature, place, x, next_x,
+         (lw * lw + (l - lw) * (l - lw)) / l
+         + ((won - lw) * (won - lw) + (n - l - (won - lw)) * (n - l - (won - lw))) / (n - l) AS score
+  FROM runs_{i} r JOIN (SELECT node, n::DOUBLE AS n, won::DOUBLE AS won FROM sizes_{i}) s USING (node)
+  WHERE next_x IS NOT NULL),
+splits_{i} AS MATERIALIZED (
+  SELECT node, feature, (x + next_x) / 2 AS threshold FROM scored_{i}
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY score DESC, place, x) = 1),
+at_{i + 1} AS MATERIALIZED (
+  SELECT a.id, 2 * a.node + (e.x > s.threshold)::INTEGER AS node, a.y
+  FROM at_{i} a JOIN splits_{i} s USING (node) JOIN entries e ON e.id = a.id AND e.feature = s.feature)""")
+    every = " UNION ALL ".join(
+        f"SELECT node, feature, threshold, n AS rows, won AS wins FROM sizes_{i} LEFT JOIN splits_{i} USING (node)"
+        for i in range(depth)
+    )
+    parts.append(f"""tree AS (
+  {every}
+  UNION ALL SELECT node, NULL, NULL, count(*), sum(y)::BIGINT FROM at_{depth} GROUP BY node)""")
+    return ",\n".join(parts)
+
+
 def model_texts() -> dict[str, str]:
     q: dict[str, str] = {}
     length = " + ".join(f"{c}::DOUBLE ** 2" for c in MODEL_16)
@@ -364,13 +495,17 @@ SELECT label, dim::INTEGER AS dim, {r6_as('mean')} FROM means"""
     q["pca_reconstruction"] = f"""WITH {CLEANED}, raw AS MATERIALIZED ({_long(MODEL_16, 'cleaned', 'id')})
 SELECT a.feature AS feature_1, b.feature AS feature_2, {r6('coalesce(corr(a.x, b.x), 0)')} AS correlation
 FROM raw a JOIN raw b USING (id) GROUP BY ALL"""
-    q["model_support"] = f"""WITH {CLEANED},
-runs AS (
-  SELECT features, model FROM (VALUES ('normalised'), ('pca')) f(features),
-         (VALUES ('LDA'), ('KNN'), ('CART'), ('RF'), ('SVM')) m(model))
-SELECT features, model, ({FOLD})::INTEGER AS fold, count(*) AS rows,
-       count(*) FILTER (Home_team_Win = 1) AS wins
-FROM cleaned, runs GROUP BY ALL"""
+    q["pca_variance"] = f"""{_RECURSIVE} {CLEANED}, {_components(len(MODEL_16))}
+SELECT component, {r6_as('explained_ratio cumulative_ratio')} FROM kept"""
+    q["pca_loadings"] = f"""{_RECURSIVE} {CLEANED}, {_components(len(MODEL_16))}
+SELECT component, ([{', '.join(f"'{c}'" for c in MODEL_16)}])[i] AS feature,
+       {r6('axis[i] * CASE WHEN axis[largest] < 0 THEN -1 ELSE 1 END')} AS loading
+FROM kept, (SELECT unnest(range(1, {len(MODEL_16) + 1})) AS i)"""
+    q["lda_predict"] = f"""{_RECURSIVE} {cells.split("means AS")[0].rstrip().rstrip(",")}, {_DISCRIMINANT}
+SELECT id, label::INTEGER AS label, yhat::INTEGER AS yhat FROM best"""
+    q["cart_nodes"] = f"""WITH {LONGS}, {_tree_levels(3)}
+SELECT node, feature, {r6('threshold')} AS threshold, rows, wins FROM tree"""
+    q["cart_nodes_ranged"] = q["cart_nodes"]
     q["cart_stump"] = f"""WITH {LONGS}, {RANKED},
 splits AS (
   SELECT t.feature, t.place, b.v AS bucket,

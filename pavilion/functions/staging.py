@@ -32,6 +32,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/pavilion/{name}-{uuid.uuid4().hex}"
 
 
+def kept_path(spark: SparkSession, folder: str, key: str) -> str:
+    """The path of a table that later runs find again by its key."""
+    return f"{shared_folder(spark).rstrip('/')}/pavilion/{folder}/{key}"
+
+
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether the write of a table has ended."""
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal a table to partitions that depend on its rows and size alone.
 

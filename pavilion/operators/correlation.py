@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pavilion.operators.moments import class_moments
+
 _CELL = T.StructType(
     [
         T.StructField("feature_1", T.StringType()),
@@ -26,7 +27,7 @@ def correlation_cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     vectors = VectorAssembler(inputCols=list(columns), outputCol="v").transform(
         df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     )
-    matrix = Correlation.corr(vectors.select("v"), "v").head()[0].toArray()
+    matrix = class_moments(vectors, features="v")[None].correlation()
     cells = [
         (a, b, i, j, float(matrix[i, j]))
         for i, a in enumerate(columns)

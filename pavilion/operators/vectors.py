@@ -2,26 +2,19 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.feature import (
-    PCA,
-    ElementwiseProduct,
-    Normalizer,
-    StandardScaler,
-    StandardScalerModel,
-    VectorAssembler,
-    VectorSlicer,
-)
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.linalg import Vectors
+import pandas as pd
+from pyspark.ml.feature import Normalizer, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pavilion.operators.moments import Moments, class_moments
+
 # Fixed value: share of the variance the kept components must exceed.
 VARIANCE_SHARE = 0.95
 
@@ -49,64 +42,75 @@ def _replace(df: DataFrame, column: str) -> DataFrame:
     return df.drop("features").withColumnRenamed(column, "features")
 
 
+def linear(df: DataFrame, shift: np.ndarray, matrix: np.ndarray) -> DataFrame:
+    """``features`` less ``shift``, times ``matrix`` (a vector stands for a diagonal)."""
+
+    @F.pandas_udf("array<double>")
+    def mapped(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for values in batches:
+            if len(values):
+                apart = np.stack(values.to_numpy()) - shift
+                yield pd.Series(list(apart * matrix if matrix.ndim == 1 else apart @ matrix))
+            else:
+                yield pd.Series([], dtype=object)
+
+    return df.withColumn("features", array_to_vector(mapped(vector_to_array("features"))))
+
+
 @dataclass
 class Standardiser:
-    """Column scaling to mean 0 and population deviation 1."""
+    """Column scaling to mean 0 and population deviation 1; a column of one value becomes 0."""
 
-    model: StandardScalerModel
-    factor: float
+    mean: np.ndarray
+    factor: np.ndarray
+
+    @classmethod
+    def of(cls, moments: Moments) -> Standardiser:
+        sd = moments.deviations()
+        return cls(moments.mean, np.divide(1.0, sd, out=np.zeros_like(sd), where=sd > 0))
 
     @classmethod
     def fit(cls, df: DataFrame) -> Standardiser:
-        scaler = StandardScaler(
-            withMean=True, withStd=True, inputCol="features", outputCol="centred"
-        )
-        rows = df.count()
-        # Spark divides by the sample deviation.
-        return cls(scaler.fit(df), math.sqrt(rows / (rows - 1)) if rows > 1 else 1.0)
+        return cls.of(class_moments(df)[None])
 
     def transform(self, df: DataFrame) -> DataFrame:
-        centred = self.model.transform(df)
-        weights = Vectors.dense([self.factor] * len(self.model.mean))
-        product = ElementwiseProduct(
-            scalingVec=weights, inputCol="centred", outputCol="scaled"
-        )
-        return _replace(product.transform(centred).drop("centred"), "scaled")
+        return linear(df, self.mean, self.factor)
 
 
 @dataclass
 class Components:
     """Principal components of standardised vectors, largest loading positive."""
 
-    model: object
-    signs: list[float]
+    scaler: Standardiser
     ratios: list[float]
     loadings: list[list[float]]
     kept: int
 
     @classmethod
-    def fit(cls, df: DataFrame, size: int, share: float = VARIANCE_SHARE) -> Components:
-        model = PCA(k=size, inputCol="features", outputCol="scores").fit(df)
-        matrix = model.pc.toArray()
-        largest = [max(range(size), key=lambda i, k=k: abs(matrix[i, k])) for k in range(size)]
-        signs = [1.0 if matrix[largest[k], k] >= 0 else -1.0 for k in range(size)]
-        ratios = [float(r) for r in model.explainedVariance.toArray()]
+    def of(cls, moments: Moments, share: float = VARIANCE_SHARE) -> Components:
+        """From the correlation matrix, which is the covariance of standardised vectors."""
+        scaler = Standardiser.of(moments)
+        shared = moments.covariance(0) * np.outer(scaler.factor, scaler.factor)
+        values, axes = np.linalg.eigh(shared)
+        values, axes = np.maximum(values[::-1], 0.0), axes[:, ::-1]
+        largest = np.abs(axes).argmax(axis=0)
+        signs = np.where(axes[largest, np.arange(len(values))] >= 0, 1.0, -1.0)
+        ratios = (values / values.sum()).tolist() if values.sum() > 0 else [0.0] * len(values)
         kept, total = 0, 0.0
-        while kept < size and total <= share:
+        while kept < len(ratios) and total <= share:
             total += ratios[kept]
             kept += 1
-        loadings = [[float(matrix[i, k] * signs[k]) for i in range(size)] for k in range(size)]
-        return cls(model, signs, ratios, loadings, kept)
+        return cls(scaler, ratios, (axes * signs).T.tolist(), kept)
+
+    @classmethod
+    def fit(cls, df: DataFrame, share: float = VARIANCE_SHARE) -> Components:
+        """One read gives means, deviations and correlation."""
+        return cls.of(class_moments(df)[None], share)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        scores = self.model.transform(df)
-        signed = ElementwiseProduct(
-            scalingVec=Vectors.dense(self.signs), inputCol="scores", outputCol="signed"
-        ).transform(scores)
-        sliced = VectorSlicer(
-            inputCol="signed", outputCol="kept", indices=list(range(self.kept))
-        ).transform(signed)
-        return _replace(sliced.drop("scores", "signed"), "kept")
+        """Scores of the kept components from vectors as they are."""
+        axes = np.array(self.loadings[: self.kept]).T
+        return linear(df, self.scaler.mean, self.scaler.factor[:, None] * axes)
 
 
 def variance_table(df: DataFrame, parts: Components) -> DataFrame:

@@ -16,6 +16,7 @@ from pavilion.operators import (
     importance,
     metrics,
     neighbours,
+    trees,
     vectors,
 )
 from pavilion.operators.folds import FOLDS, fold_of, with_folds
@@ -54,7 +55,7 @@ def _standardise(spark, folder):
 
 def _components(spark, folder):
     raw = vectors.assemble(cleaned(spark, folder), MODEL_COLUMNS, ["id"])
-    return ms.pca_features(raw, [raw], len(MODEL_COLUMNS))
+    return ms.pca_features(raw, [raw])
 
 
 @query("pca_variance")
@@ -167,25 +168,25 @@ def _fold_boxplot(spark, folder):
     return round_doubles(metrics.fold_boxplot(scores))
 
 
-_PREDICTIONS: dict[tuple[str, str, str, str], DataFrame] = {}
+_VALIDATIONS: dict[tuple[str, str, str], ms.CrossValidation] = {}
 
 
-def _predictions(spark, folder, name, features="normalised") -> DataFrame:
-    """Cross-validated predictions of one model, written once per session."""
-    key = (spark.sparkContext.applicationId, folder, name, features)
-    if key not in _PREDICTIONS:
-        _PREDICTIONS[key] = ms.cross_validate(
-            cleaned(spark, folder), MODEL_COLUMNS, RESPONSE, features, {name: ms.MODELS[name]}
-        )
-    return _PREDICTIONS[key]
+def _validation(spark, folder, features="normalised") -> ms.CrossValidation:
+    """The prepared folds of a feature set, once per session; fits are kept by key."""
+    key = (spark.sparkContext.applicationId, folder, features)
+    if key not in _VALIDATIONS:
+        rows = cleaned(spark, folder)
+        _VALIDATIONS[key] = ms.CrossValidation(rows, MODEL_COLUMNS, RESPONSE, features)
+    return _VALIDATIONS[key]
 
 
 def _one_model(spark, folder, name):
-    return _predictions(spark, folder, name).select("fold", "id", "y", "yhat")
+    found = _validation(spark, folder).predictions({name: ms.MODELS[name]})
+    return found.select("fold", "id", "y", "yhat")
 
 
 def _all_models(spark, folder, features):
-    return _scores([_predictions(spark, folder, name, features) for name in ms.MODELS])
+    return metrics.fold_metrics(_validation(spark, folder, features).predictions())
 
 
 @query("cart_predict")
@@ -193,6 +194,19 @@ def _cart_predict(spark, folder):
     return _one_model(spark, folder, "CART")
 
 
+@query("svm_kernel_error")
+def _svm_kernel_error(spark, folder):
+    """How far the kernel of the landmarks is from the kernel, between held-out rows of each fold."""
+    runs = _validation(spark, folder)
+    rows = []
+    for fold in range(FOLDS):
+        train, test = runs.part(fold)
+        landmarks = classifiers.svm_landmarks(train, classifiers.LANDMARKS, "id", 42)
+        rows.append((fold, len(landmarks.points), *landmarks.error(test)))
+    table = spark.createDataFrame(rows, "fold int, landmarks int, mean_error double, largest_error double")
+    return round_doubles(table)
+
+
 @query("rf_predict")
 def _rf_predict(spark, folder):
     return _one_model(spark, folder, "RF")
@@ -237,18 +251,12 @@ FEATURE_SETS = ["normalised", "pca"]
 def _both_sets(spark, folder, report):
     """A report on all models for each feature set, with the set's name."""
     frames = [
-        report([_predictions(spark, folder, name, features) for name in ms.MODELS]).select(
-            F.lit(features).alias("features"), "*"
-        )
+        report(_validation(spark, folder, features)).select(F.lit(features).alias("features"), "*")
         for features in FEATURE_SETS
     ]
     return round_doubles(metrics.union_all(frames))
 
 
-def _scores(frames):
-    return metrics.fold_metrics(metrics.union_all(frames))
-
-
 @query("model_metrics")
 def _model_metrics(spark, folder):
     """All models on row-normalised features: every fold."""
@@ -263,24 +271,52 @@ def _model_metrics_pca(spark, folder):
 
 @query("model_means")
 def _model_means(spark, folder):
-    return _both_sets(spark, folder, lambda frames: metrics.model_means(_scores(frames)))
+    def means(runs):
+        return metrics.model_means(metrics.fold_metrics(runs.predictions()))
+
+    return _both_sets(spark, folder, means)
 
 
 @query("model_boxplot")
 def _model_boxplot(spark, folder):
-    return _both_sets(spark, folder, lambda frames: metrics.fold_boxplot(_scores(frames)))
+    def box(runs):
+        return metrics.fold_boxplot(metrics.fold_metrics(runs.predictions()))
+
+    return _both_sets(spark, folder, box)
 
 
 @query("model_support")
 def _model_support(spark, folder):
-    """Predicted rows and wins of every model and fold."""
+    """Predicted rows, actual wins, predicted wins and hits of every model and fold."""
+    return _both_sets(spark, folder, lambda runs: metrics.fold_support(runs.predictions()))
+
+
+@query("model_times")
+def _model_times(spark, folder):
+    """Seconds to fit and to score of every model and fold."""
+    return _both_sets(spark, folder, lambda runs: runs.times())
+
+
+def _cart_nodes(spark, folder, local_rows):
+    rows = vectors.assemble(
+        cleaned(spark, folder).withColumn("label", F.col(RESPONSE).cast("double")), DIFF_FEATURES, ["id", "label"]
+    )
+    model = trees.grow(rows, trees.Options(max_depth=3, local_rows=local_rows))
+    names = F.array(*[F.lit(c) for c in DIFF_FEATURES])
+    feature = F.when(F.col("feature").isNotNull(), F.element_at(names, F.col("feature") + 1))
+    return round_doubles(trees.nodes(model).select("node", feature.alias("feature"), "threshold", "rows", "wins"))
+
+
+@query("cart_nodes")
+def _cart_nodes_in_memory(spark, folder):
+    """All nodes of a tree of depth 3 that splits at exact values."""
+    return _cart_nodes(spark, folder, trees.LOCAL_ROWS)
 
-    def support(frames):
-        return metrics.union_all(frames).groupBy(*metrics.GROUP).agg(
-            F.count("yhat").alias("rows"), F.count_if(F.col("y") == 1).alias("wins")
-        )
 
-    return _both_sets(spark, folder, support)
+@query("cart_nodes_ranged")
+def _cart_nodes_ranged(spark, folder):
+    """The same by attribute lists sorted by range, at every level."""
+    return _cart_nodes(spark, folder, 0)
 
 
 @query("cart_stump")

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pavilion.operators import discriminant, folds, importance, metrics, neighbours, vectors
+from pavilion.operators import classifiers, discriminant, folds, importance, metrics, moments, neighbours, network, vectors
 from pavilion.plans import model_selection
 
 
@@ -79,7 +79,7 @@ def test_standardise_and_components(spark):
     scaled = {r.id: r.features.toArray() for r in scaler.transform(df).collect()}
     want = (x - x.mean(axis=0)) / x.std(axis=0)
     assert np.allclose(np.array([scaled[i] for i in range(len(x))]), want)
-    parts = vectors.Components.fit(scaler.transform(df), 5)
+    parts = vectors.Components.fit(df)
     _, singular, axes = np.linalg.svd(want, full_matrices=False)
     ratios = singular**2 / (singular**2).sum()
     assert np.allclose(parts.ratios, ratios)
@@ -87,13 +87,32 @@ def test_standardise_and_components(spark):
     for k, loading in enumerate(parts.loadings):
         assert abs(np.dot(loading, axes[k])) == pytest.approx(1.0)
         assert max(loading, key=abs) > 0
-    scores = {r.id: r.features.toArray() for r in parts.transform(scaler.transform(df)).collect()}
+    scores = {r.id: r.features.toArray() for r in parts.transform(df).collect()}
     projected = want @ np.array(parts.loadings[: parts.kept]).T
     assert np.allclose(np.array([scores[i] for i in range(len(x))]), projected)
     table = vectors.variance_table(df, parts).orderBy("component").collect()
     assert table[-1].cumulative_ratio == pytest.approx(ratios[: parts.kept].sum())
 
 
+def test_moments_merge_per_class_in_one_read(spark):
+    df, x, y = labelled(spark, n=300, d=5)
+    shifted = df.where("id < 290").repartition(7)
+    found = moments.class_moments(shifted, F.col("label"))
+    assert list(found) == [0.0, 1.0]
+    for k, m in found.items():
+        own = x[:290][y[:290] == k]
+        assert m.rows == len(own) and np.allclose(m.mean, own.mean(axis=0))
+        assert np.allclose(m.covariance(), np.cov(own.T))
+    whole = moments.class_moments(shifted)[None]
+    assert np.allclose(whole.correlation(), np.corrcoef(x[:290].T))
+    assert np.allclose(whole.deviations(), x[:290].std(axis=0))
+    far = moments.Moments.of(x + 1e9) + moments.Moments.of(x + 1e9)
+    assert np.allclose(far.scatter, 2 * len(x) * np.cov(x.T, ddof=0), rtol=1e-4)
+    one = moments.Moments.of(np.array([[1.0, 2.0], [1.0, 3.0]]))
+    assert one.deviations()[0] == 0 and np.isnan(one.correlation()[0, 1])
+    assert moments.class_moments(df.limit(0), F.col("label")) == {}
+
+
 def test_zero_row_stays_zero(spark):
     df = spark.createDataFrame([(1, 0.0, 0.0), (2, 3.0, 4.0)], "id long, a double, b double")
     out = {r.id: list(r.features.toArray()) for r in model_selection.normalised(df, ["a", "b"], ["id"]).collect()}
@@ -143,7 +162,7 @@ def test_cross_validation_predicts_every_row_once(spark):
         "LDA": discriminant.fit_predict,
         "KNN": neighbours.knn_predict,
         "CART": lambda a, b, k: model_selection.MODELS["CART"](a, b, k, max_depth=3),
-        "RF": lambda a, b, k: model_selection.MODELS["RF"](a, b, k, trees=5, max_depth=3),
+        "RF": lambda a, b, k: model_selection.MODELS["RF"](a, b, k, size=5, max_depth=3),
         "SVM": lambda a, b, k: model_selection.MODELS["SVM"](a, b, k, size=40),
     }
     for features, used in (("normalised", models), ("pca", {k: models[k] for k in ("LDA", "KNN")})):
@@ -162,20 +181,86 @@ def test_held_out_net(spark):
     rng = np.random.default_rng(3)
     rows = [(i, i % 7, int(i % 2), float(rng.normal() + 3 * (i % 2)), 1.0) for i in range(120)]
     df = spark.createDataFrame(rows, "id long, day int, won int, a double, b double")
-    run = model_selection.held_out_net(
-        df, ["a", "b"], "won", ["day", "id"], 90, hidden=[6], steps=25
-    )
+    options = network.Options(hidden=(6,), epochs=12)
+    run = model_selection.held_out_net(df, ["a", "b"], "won", ["day", "id"], 90, options)
     assert run.predictions.count() == 30
-    curve = run.history.orderBy("step").collect()
-    assert [r.step for r in curve] == [10, 20, 25]
+    curve = run.history.orderBy("epoch").collect()
+    assert [r.epoch for r in curve] == list(range(1, 13))
     assert curve[-1].loss < curve[0].loss
     held_out = model_selection.accuracy(run.predictions).head().accuracy
     assert held_out > 0.7 and held_out == curve[-1].test_accuracy
 
 
+def test_gradients_equal_finite_differences():
+    rng = np.random.default_rng(1)
+    net = network.Net.random([3, 5, 4, 1], seed=2)
+    x, y = rng.normal(size=(20, 3)), rng.integers(0, 2, 20).astype(float)
+    flat, found = net.flat(), net.gradient(x, y)
+    for i in range(0, len(flat), 3):
+        step = np.zeros_like(flat)
+        step[i] = 1e-6
+        up, down = (network.log_loss(net.like(flat + s).odds(x), y).sum() for s in (step, -step))
+        assert found[i] == pytest.approx((up - down) / 2e-6, abs=1e-5)
+
+
+def test_steps_do_not_depend_on_partitions(spark, monkeypatch):
+    df, *_ = labelled(spark, n=90)
+    rows = df.withColumn("is_test", F.col("id") >= 70)
+    options = network.Options(hidden=(4,), epochs=3, batches=3)
+    one = network.train(rows.coalesce(1), options)
+    monkeypatch.setattr(network, "FAN", 2)  # more than one level of sums
+    many = network.train(rows.repartition(5), options)
+    assert np.allclose(one.net.flat(), many.net.flat())
+    assert np.allclose(one.history, many.history)
+
+
+def exact_machine(x, y, gamma, penalty=1.0, steps=4000):
+    """Dual of the kernel machine, the pair that violates it most at a time; the score of rows."""
+    k = classifiers.kernel(x, x, gamma)
+    sign = np.where(y == 1, 1.0, -1.0)
+    a, slope = np.zeros(len(y)), -np.ones(len(y))
+    for _ in range(steps):
+        up = ((sign > 0) & (a < penalty)) | ((sign < 0) & (a > 0))
+        down = ((sign > 0) & (a > 0)) | ((sign < 0) & (a < penalty))
+        score = -sign * slope
+        i, j = np.flatnonzero(up)[score[up].argmax()], np.flatnonzero(down)[score[down].argmin()]
+        if score[i] - score[j] < 1e-6:
+            break
+        curve = max(k[i, i] + k[j, j] - 2 * k[i, j], 1e-12)
+        move = (score[i] - score[j]) / curve
+        move = min(move, penalty - a[i] if sign[i] > 0 else a[i], a[j] if sign[j] > 0 else penalty - a[j])
+        a[i] += sign[i] * move
+        a[j] -= sign[j] * move
+        slope += sign * move * (k[i] - k[j])
+    bias = (score[i] + score[j]) / 2
+    return lambda z: classifiers.kernel(z, x, gamma) @ (a * sign) + bias
+
+
+def test_kernel_machine_agrees_with_an_exact_one(spark):
+    rng = np.random.default_rng(6)
+    n = 500
+    x = rng.normal(size=(n, 4))
+    y = ((x**2).sum(axis=1) + rng.normal(size=n) * 0.5 > 3.5).astype(int)
+    rows = [(i, float(y[i]), [float(v) for v in x[i]]) for i in range(n)]
+    df = vectors.from_array(spark.createDataFrame(rows, "id long, label double, v array<double>"), "v", ["id", "label"])
+    train, test = df.where("id < 300"), df.where("id >= 300")
+    gamma = classifiers.kernel_scale(train)
+    assert gamma == pytest.approx(1 / (4 * x[:300].var()))
+    exact = exact_machine(x[:300], y[:300], gamma)(x[300:])
+    scored = classifiers.svm_predict(train, test, ["id", "label"], size=200).orderBy("id").collect()
+    agree = np.mean([(r.score > 0) == (e > 0) for r, e in zip(scored, exact)])
+    assert agree >= 0.97
+    landmarks = classifiers.svm_landmarks(train, 200, "id", 42)
+    mean, largest = landmarks.error(test)
+    assert mean < 0.005 and largest <= 1
+    whole = classifiers.svm_landmarks(train, 300, "id", 42)
+    lifted = whole.lift(x[:300])
+    assert np.allclose(lifted @ lifted.T, classifiers.kernel(x[:300], x[:300], gamma), atol=1e-6)
+
+
 def test_forest_importance(spark):
     rng = np.random.default_rng(2)
-    rows = [(float(i % 2) + 0.1 * float(rng.normal()), float(rng.normal()), int(i % 2)) for i in range(80)]
-    df = spark.createDataFrame(rows, "good double, noise double, won int")
+    rows = [(i, float(i % 2) + 0.1 * float(rng.normal()), float(rng.normal()), int(i % 2)) for i in range(80)]
+    df = spark.createDataFrame(rows, "id long, good double, noise double, won int")
     found = {r.feature: r.forest_importance for r in importance.forest_importance(df, ["good", "noise"], "won", 10, 4).collect()}
     assert sum(found.values()) == pytest.approx(1.0) and found["good"] > found["noise"]
