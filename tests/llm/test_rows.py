@@ -3,6 +3,7 @@
 import hashlib
 import html
 import re
+import time
 
 import numpy as np
 import pytest
@@ -23,22 +24,36 @@ def vectors(spark, rows):
     return spark.createDataFrame([(i, v, 1, 2) for i, v in rows], "vec_id long, embedding array<float>, terms int, score int")
 
 
-def test_search_equals_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(search, "CANDIDATE_BLOCK", 50)
-    monkeypatch.setattr(search, "QUERY_BLOCK", 2)
+@pytest.mark.parametrize("block_bytes", [200, search.BLOCK_BYTES])
+def test_search_equals_brute_force(spark, monkeypatch, block_bytes):
+    monkeypatch.setattr(search, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(search, "LEAST_ROWS", 50)
+    monkeypatch.setattr(search, "TILE_CELLS", 100)
     r = np.random.default_rng(1)
     rows = [(i, [float(x) for x in np.round(r.normal(size=6), 1)]) for i in range(300)]
-    rows += [(300, [0.0] * 6), (400, [0.5] * 6), (401, [0.5] * 6), (500, [1.0]), (-100, [1.0, 2.0])]
+    rows += [(300, [0.0] * 6), (400, [0.5] * 6), (401, [0.5] * 6), (500, [1.0]), (-100, [1.0, 2.0]), (502, [])]
+    # rows that share an identifier are candidates and queries of their own
+    rows += [(1, [5.0, 5.0]), (1, [2.0, 0.0]), (200, [1.0, 1.0, 1.0]), rows[100], rows[3], rows[3]]
     bad = [(600, None), (601, [1.0, None]), (602, [float("nan")]), (603, [float("inf")]), (None, [1.0])]
-    weighted = search.weighted_rows(vectors(spark, rows + bad + rows[:3]))
+    weighted = search.weighted_rows(vectors(spark, rows + bad).repartition(4))
     found = search.top_k(weighted.where("vec_id % 100 = 0"), weighted, 10)
-    terms = {i: [int(np.floor(1024 * float(np.float32(x)))) for x in v] for i, v in rows}
-    want = set()
-    for q in terms:
+    terms = [(i, [int(np.floor(1024 * float(np.float32(x)))) for x in v]) for i, v in rows]
+    want = []
+    for place, (q, own) in enumerate(terms):
         if q % 100 == 0:
-            scored = sorted((-sum(a * b for a, b in zip(terms[q], terms[c])), c) for c in terms if c != q)
-            want |= {(q, k, c, -s) for k, (s, c) in enumerate(scored[:10], 1)}
-    assert {tuple(r) for r in found.collect()} == want
+            others = [(i, v) for k, (i, v) in enumerate(terms) if k != place]
+            scored = sorted((-sum(a * b for a, b in zip(own, v)), i) for i, v in others)
+            want += [(q, k, i, -s) for k, (s, i) in enumerate(scored[:10], 1)]
+    assert sorted(tuple(r) for r in found.collect()) == sorted(want)
+
+
+def test_candidates_are_copied_once_per_block_of_query_bytes(spark):
+    """A hundredth of 25 million rows of 64 terms is one block; so is any smaller number."""
+    assert search.BLOCK_BYTES // (64 * 4) >= 250_000
+    rows = [(i, [0.5] * 64) for i in range(2000)]
+    weighted = search.weighted_rows(vectors(spark, rows))
+    assert {len(r["terms"]) for r in weighted.collect()} == {256}
+    assert search.copies(weighted) == 1
 
 
 def test_search_of_huge_weights_and_of_nothing(spark):
@@ -115,6 +130,77 @@ def test_text_beside_a_long_container_is_kept(page):
     assert found == " ".join(["Title", lead] + ["Some text, more of it."] * 200)
 
 
+@pytest.mark.parametrize(
+    "part",
+    [
+        '<h2 id="related-work">Related work</h2>',
+        '<h2 id="form-and-function">Form and function</h2>',
+        '<h3 class="header">Search</h3>',
+        '<p id="share-prices">Share prices rose, as they do, and fell again.</p>',
+        '<p class="notice">Notices, in a paragraph of the text, are read.</p>',
+        '<section id="search-methods"><h2>Methods</h2><p>We search, sort, and look again; then we write it down, all of it.</p></section>',
+        '<section id="related"><p>We search, sort, and look again; then we write it down, all of it.</p></section>',
+        '<div class="widget-theory"><p>We search, sort, and look again; then we write it down, all of it.</p></div>',
+        '<ul class="steps"><li id="ad-one">First, we look.</li></ul>',
+        '<p>5 < 6, and <img alt="x > y" src=\'a>b\'>after the picture, more text.</p>',
+        "<p title=it's>An odd quote, in a tag, ends nothing.</p>",
+    ],
+)
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<html><body><nav><a href=/>Home</a></nav><article><h1>T</h1>{}</article><footer>f</footer></body></html>",
+        "<body><div id=wrap><div class='sidebar'><p>Side, text.</p></div><main><section>{}</section></main></div></body>",
+        "<body><div class='post-content'>{}</div><div id='comments'><p>Nice, really.</p></div></body>",
+        "<body><div class=a><ul class=menu><li><a href=x>x</a></ul></div><div class=b>{}</div></body>",
+    ],
+)
+def test_parts_of_an_article_stay_whatever_their_names(page, part):
+    prose = "<p>Some text, more of it, and still more.</p>" * 30
+    if "class=b" in page and re.search("h3 class|widget|id=\"related\"|search-methods|share-prices|notice|ad-one", part):
+        pytest.skip("outside an article, names count")
+    found = html_text.main_text(page.format(prose + part + prose))
+    plain = html.unescape(re.sub("<(?=[/A-Za-z])(?:[^>\"']|\"[^\"]*\"|'[^']*'|(?<==it)')*>", " ", part))
+    want = " ".join(["Some text, more of it, and still more."] * 30)
+    assert found.replace("T Some", "Some", 1) == f"{want} {' '.join(plain.split())} {want}"
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        '<div class="ad">Buy now!</div>',
+        '<div class="share-buttons"><a href=x>Tweet</a> <a href=y>Mail</a></div>',
+        '<ul class="related-posts"><li><a href=x>One</a><li><a href=x>Two</a></ul>',
+        '<section class="comments"><p>Nice, really, I liked it, thanks.</p></section>',
+        '<div id="newsletter">Subscribe, now, to all of our news.</div>',
+        '<div hidden>Some text, more of it, and still more.</div>',
+        '<p style="display: none">Some text, more of it, and still more.</p>',
+    ],
+)
+def test_other_parts_in_an_article_go(part):
+    prose = "<p>Some text, more of it, and still more.</p>" * 30
+    found = html_text.main_text(f"<body><article>{prose}{part}{prose}</article></body>")
+    assert found == " ".join(["Some text, more of it, and still more."] * 60)
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>" * 50_000 + "deep, text",
+        "<div>" * 20_000 + "</p>" * 20_000 + "<p>x, y",
+        "<script " * 20_000,
+        "<a href='" * 20_000,
+        "<b>" * 20_000 + "<p>x" * 20_000,
+        "<!--" * 20_000 + "<x" * 20_000,
+        "<div><p>a, b</p>" * 10_000,
+    ],
+)
+def test_hostile_pages_take_time_in_proportion(page):
+    start = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - start < 1.5
+
+
 def test_pages_equal_their_articles(spark):
     pages = spark.read.parquet(f"{FOLDER}/pages.parquet")
     source = {r["page_id"]: r["html"] for r in pages.collect()}
