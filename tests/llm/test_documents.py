@@ -1,7 +1,10 @@
 """Mixing, sharding, decontamination, toxicity and the pipeline."""
 
+import random
+import time
 import zlib
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -141,27 +144,92 @@ def test_leaks(spark):
     assert contamination.leaks(documents(spark, []), benchmark).collect() == []
 
 
-def test_banded_edits_equal_brute_force():
-    import random
+def least_edits(p, t):
+    """Edits of a passage against the best part of a text."""
+    row = [0] * (len(t) + 1)
+    for i, c in enumerate(p, 1):
+        new = [i]
+        for j, d in enumerate(t, 1):
+            new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (c != d)))
+        row = new
+    return min(row)
 
-    def brute(p, t):
-        row = [0] * (len(t) + 1)
-        for i, c in enumerate(p, 1):
-            new = [i]
-            for j, d in enumerate(t, 1):
-                new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (c != d)))
-            row = new
-        return min(row)
 
+def points(text):
+    return np.array([ord(c) for c in text], np.uint32)
+
+
+def test_banded_edits_equal_brute_force():
     r = random.Random(1)
-    for _ in range(100):
-        p = bytes(r.choices(b"abc", k=12))
-        t = bytes(r.choices(b"abc", k=20))
-        best = brute(p, t)
-        found = contamination.banded_edits(p, t, 12)
+    for _ in range(200):
+        p, t = "".join(r.choices("abc", k=12)), "".join(r.choices("abc", k=r.randint(0, 24)))
+        best = least_edits(p, t)
+        found = contamination.banded_edits(points(p), points(t), -12, len(t), 12)
         assert found is not None and found[0] == best
+        edits, start, end = found
+        assert 0 <= start <= end <= len(t)
+        assert least_edits(p, t[start:end]) == best
         if best:
-            assert contamination.banded_edits(p, t, best - 1) is None
+            assert contamination.banded_edits(points(p), points(t), -12, len(t), best - 1) is None
+        # a band around an alignment finds it, too
+        low, high = min(start, end - 12) - best, max(start, end - 12) + best
+        assert contamination.banded_edits(points(p), points(t), low, high, 12)[0] == best
+
+
+def test_bands_of_long_passages_cost_their_width():
+    r = random.Random(2)
+    text = "".join(r.choices("abcdefgh ", k=16_000))
+    copy = list(text)
+    for k in range(0, 16_000, 40):
+        copy[k] = "#"
+    start = time.process_time()
+    found = contamination.banded_edits(points(text), points("".join(copy)), -400, 400, 400)
+    assert found[0] == 400 and time.process_time() - start < 2
+
+
+def test_leaks_equal_brute_force(spark):
+    """Random texts with copies of passages, edited by letters, case and white space."""
+    r = random.Random(7)
+    words = ["été", "Ärger", "über", "Straße", "niño", "mesa", "word", "text", "Zürich", "ça"] + [
+        "".join(r.choices("abcdefg", k=r.randint(2, 7))) for _ in range(60)
+    ]
+    prose = lambda n: " ".join(r.choices(words, k=n))
+    items = [(i, prose(r.randint(8, 40))) for i in range(12)] + [(20, "short"), (21, "  Été "), (22, None), (23, " ")]
+    rows = []
+    for i in range(120):
+        passage = items[r.randrange(12)][1]
+        letters = list(r.choice([str, str.upper, str.title])(passage))
+        for _ in range(r.choice([0, 1, 3, 8, 30])):
+            k = r.randrange(len(letters))
+            letters[k] = r.choice(["", "#", letters[k] + "x"])
+        body = "".join(letters).replace(" ", r.choice([" ", "\n", "  ", "\u00a0"]))
+        rows.append((i, prose(r.randint(0, 30)) + r.choice([" ", ""]) + body + " " + prose(r.randint(0, 30)), "s"))
+    rows += [(200, "Short", "s"), (201, "SHORT\n", "s"), (202, "short text", "s"), (203, "ÉTÉ", "s"), (204, None, "s")]
+
+    def plain(text):
+        # letters of one code point stay one, so lengths agree
+        return " ".join("".join(c.lower()[0] for c in text or "").split())
+
+    want = set()
+    for d, text, _ in rows:
+        for i, passage in items:
+            p, t = plain(passage), plain(text)
+            budget = min(int(0.05 * len(p)), (len(p) - 9) // 20)
+            if 0 < len(p) < 10:
+                if p == t:
+                    want.add((d, i, 0))
+            elif p and (edits := least_edits(p, t)) <= budget:
+                want.add((d, i, edits))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = contamination.leaks(documents(spark, rows), benchmark).collect()
+    assert {(x["doc_id"], x["item_id"], x["edits"]) for x in found} == want and len(want) > 60
+    texts = {d: (t or "").encode() for d, t, _ in rows}
+    for x in found:
+        part = texts[x["doc_id"]][x["start_byte"] : x["end_byte"]].decode()
+        p = plain(dict(items)[x["item_id"]])
+        assert part == part.strip() and least_edits(p, plain(part)) == x["edits"]
+    kept = contamination.without_leaks(documents(spark, rows), benchmark).collect()
+    assert {x["doc_id"] for x in kept} == {d for d, _, _ in rows} - {d for d, _, _ in want}
 
 
 def test_automaton_finds_words_within_an_edit():
@@ -183,8 +251,10 @@ def test_words_stay_beside_their_stems():
 
 
 def test_misspelt_terms_are_learnt_from_labels(spark):
-    rows = [(i, f"you grumbler number {'xyz'[i % 3]} of all", "s") for i in range(40)]
-    rows += [(i, "a calm day by the sea and all is well", "s") for i in range(40, 120)]
+    r = random.Random(5)
+    calm = "a calm day by the sea and all is well with us here".split()
+    rows = [(i, " ".join(["you grumbler", *r.choices(calm, k=12)]), "s") for i in range(40)]
+    rows += [(i, " ".join(r.choices(calm, k=14)), "s") for i in range(40, 120)]
     labels = spark.createDataFrame([(i, int(i < 40)) for i in range(120)], "doc_id long, toxic int")
     model = toxicity.learn(documents(spark, rows), labels)
     assert "grumbler" in model.terms and "idiot" not in model.terms
@@ -202,12 +272,58 @@ def test_toxicity_on_held_out_documents(spark):
     assert found[found["toxic"] == 1]["predicted"].mean() >= 0.6
 
 
+def test_automaton_equals_edit_distance():
+    """Random words against all terms: at most one edit for long words, stems as beginnings."""
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, c in enumerate(a, 1):
+            new = [i]
+            for j, d in enumerate(b, 1):
+                new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (c != d)))
+            row = new
+        return row[-1]
+
+    r = random.Random(4)
+    terms = {"".join(r.choices("abé", k=r.randint(3, 8))): r.random() for _ in range(40)}
+    terms |= {"".join(r.choices("abé", k=4)) + "*": r.random() for _ in range(4)}
+    lexicon = toxicity.Lexicon(terms)
+    for _ in range(3000):
+        word = "".join(r.choices("abéc", k=r.randint(1, 9)))
+        exact = word in terms
+        stem = any(t.endswith("*") and word.startswith(t[:-1]) for t in terms)
+        near = any(not t.endswith("*") and len(t) >= 5 and distance(word, t) == 1 for t in terms)
+        found = lexicon.find(word)
+        assert (found is not None) == (exact or stem or near), word
+        if found:
+            term, edits = lexicon.terms[found[0]], found[1]
+            assert edits == (0 if exact or stem else 1)
+            assert term == word if exact else word.startswith(term[:-1]) if stem else distance(word, term) == 1
+
+
+def test_copies_teach_once(spark):
+    """Forty copies of one toxic text do not teach its prose; ten different texts teach their word."""
+    r = random.Random(8)
+    calm = ["".join(r.choices("aeioulmnrst", k=7)) for _ in range(300)]
+    prose = [" ".join(r.choices(calm, k=60)) for _ in range(200)]
+    unusual = " ".join(["quiet", "harbour", "lantern", *r.choices(calm, k=57)])
+    rows = [(i, f"{unusual} {i}", "s") for i in range(40)]
+    rows += [(i, f"{prose[i]} grumbler {prose[i + 1][:90]}", "s") for i in range(40, 60)]
+    rows += [(i, prose[i], "s") for i in range(60, 200)]
+    labels = spark.createDataFrame([(i, int(i < 60)) for i in range(200)], "doc_id long, toxic int")
+    model = toxicity.learn(documents(spark, rows), labels)
+    assert "grumbler" in model.terms
+    assert not {"quiet", "harbour", "lantern", "quie*", "harb*", "lant*"} & set(model.terms)
+
+
 def test_toxicity_quotes_nulls_and_no_labels(spark):
     rows = [(1, "you are an idiot and a moron", "s"), (2, None, "s"), (None, "", "s"), (3, "all is well here", "s")]
-    labels = spark.createDataFrame([(1, None), (99, 1), (None, 1)], "doc_id long, toxic int")
-    found = toxicity.score(documents(spark, rows), toxicity.learn(documents(spark, rows), labels))
-    by_id = {r["doc_id"]: r for r in found.collect()}
-    assert by_id[1]["predicted"] == 1 and by_id[3]["predicted"] == by_id[2]["predicted"] == by_id[None]["predicted"] == 0
+    for own in ([(1, None), (99, 1), (None, 1)], [(1, 0), (3, 0)], []):
+        labels = spark.createDataFrame(own, "doc_id long, toxic int")
+        found = toxicity.score(documents(spark, rows), toxicity.learn(documents(spark, rows), labels)).collect()
+        # nothing is learnt, so every text has the share of toxic labels
+        assert len(found) == 4 and len({r["score"] for r in found}) == 1
+        assert 0 < found[0]["score"] < 0.5 and all(r["predicted"] == 0 for r in found)
     words = list(toxicity.WORD.finditer('they called him an idiot today'))
     assert toxicity.quoted(words, 4, "they called him an idiot today")
     assert not toxicity.quoted(list(toxicity.WORD.finditer("what an idiot you are")), 2, "what an idiot you are")
