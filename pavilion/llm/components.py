@@ -37,20 +37,23 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
 
 
+def _with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """Edges with ``m`` of their ``u``; the centre of a star is dealt to several tasks."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salted = edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+    return salted.join(least.withColumn("salt", salts), ["u", "salt"])
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    # the centre of a star has very many neighbours: they are dealt to several tasks
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    larger = both.where("v > u").withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
-    joined = larger.join(least.withColumn("salt", salts), ["u", "salt"])
-    return joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return _with_least(both.where("v > u"), least).select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     edges = edges.where("u <> v")
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    lower = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    lower = _with_least(edges, least).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return (
         lower.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
     )

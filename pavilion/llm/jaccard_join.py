@@ -34,13 +34,14 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pavilion.functions.staging import stage
 from pavilion.llm import homes as H
 from pavilion.llm.arrays import mixed, slices
 from pavilion.llm.components import components
+from pavilion.llm.names import columns_of, free_names
 from pavilion.llm.shingle_sets import CELL_BITS, cell_counts, rarest_first, sets_of
 
 ENTRIES = 500_000
@@ -416,10 +417,19 @@ def near_duplicates(docs: DataFrame, length: int, limit: Threshold) -> DataFrame
 def one_per_component(docs: DataFrame, length: int, limit: Threshold) -> DataFrame:
     """Of each component, the document with the least identifier, in all columns.
 
-    Rows without an identifier, and texts without words, stay.
+    A document is an identifier with a text: different texts of one identifier are judged
+    apart, of several that could stay the least by hash of the text does, and equal ones
+    are one, the first in the order of the other columns. Rows without an identifier, and
+    texts without words, stay.
     """
-    found = near_duplicates(docs, length, limit).where("doc_id IS NOT NULL")
-    least = found.where("component_id = doc_id").select("doc_id").distinct()
-    known = docs.where("doc_id IS NOT NULL").join(least, "doc_id", "left_semi")
-    unknown = docs.where("doc_id IS NULL")
-    return known.dropDuplicates(["doc_id"]).unionByName(unknown).select(*docs.columns)
+    mark, rank = free_names(docs.columns, "mark", "rank")
+    marked = docs.where("doc_id IS NOT NULL").withColumn(mark, F.xxhash64("doc_id", "text"))
+    found = near_duplicates(marked.select(F.col(mark).alias("doc_id"), "text"), length, limit)
+    of = found.select(F.col("doc_id").alias(mark), F.col("component_id").alias("component")).distinct()
+    ids = marked.select(mark, "doc_id").distinct()
+    first = ids.join(of, mark).groupBy("component").agg(F.min(F.struct("doc_id", mark)).alias("first"))
+    chosen = stage(first.select(F.col(f"first.{mark}").alias(mark)), "kept-documents")
+    order = Window.partitionBy(mark).orderBy(*columns_of(docs.drop("doc_id", "text")))
+    known = marked.join(chosen, mark, "left_semi").withColumn(rank, F.row_number().over(order))
+    known = known.where(F.col(rank) == 1).select(*columns_of(docs))
+    return known.unionByName(docs.where("doc_id IS NULL"))

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pavilion.functions.staging import stage
+from pavilion.llm.names import columns_of, free_names
 from pavilion.llm.ordering import hash32, running_sum
 from pavilion.llm.words import word_count
 
@@ -237,12 +238,13 @@ def mixed_rows(docs: DataFrame, plan: MixPlan | None = None) -> DataFrame:
         F.count_distinct("start").alias("rows"),
         F.sum(F.when(F.col("taken") * 2 >= F.col("size"), 1).otherwise(0)).alias("taken"),
     )
+    mark, many, copy = free_names(docs.columns, "mark", "copies", "copy")
     copies = copies.select(
-        F.col("doc_id").alias("_key"), F.round(F.col("taken") / F.col("rows")).cast("int").alias("_copies")
-    ).where("_copies > 0")
+        F.col("doc_id").alias(mark), F.round(F.col("taken") / F.col("rows")).cast("int").alias(many)
+    ).where(F.col(many) > 0)
     return (
-        docs.withColumn("_key", key)
-        .join(copies, "_key")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .select(*docs.columns)
+        docs.withColumn(mark, key)
+        .join(copies, mark)
+        .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(many))))
+        .select(*columns_of(docs))
     )

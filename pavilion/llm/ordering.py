@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pavilion.llm.names import free_names
+
 ROWS_PER_RANGE = 4096
 
 
@@ -37,37 +39,38 @@ def running_sum(
     The order is by ``hashed`` (0 to 2**32 - 1), then ``ties``. Group columns hold no
     nulls. ``rows`` is the number of rows, from which the ranges are sized.
     """
+    c, f, total, outer_sum, inner_sum, inside, first = free_names(
+        df.columns, "coarse", "fine", "total", "outer", "inner", "within", "first"
+    )
     bits = max(0, math.ceil(math.log2(max(rows, 1) / rows_per_range)))
     low, high = bits // 2, bits - bits // 2
     coarse = F.shiftright(F.col(hashed), 32 - high)
     fine = F.shiftright(F.col(hashed), 32 - high - low).bitwiseAND((1 << low) - 1)
-    df = df.withColumns({"_coarse": coarse.cast("int"), "_fine": fine.cast("int")})
-    totals = df.groupBy(*groups, "_coarse", "_fine").agg(F.sum(value).alias("_total"))
+    df = df.withColumns({c: coarse.cast("int"), f: fine.cast("int")})
+    totals = df.groupBy(*groups, c, f).agg(F.sum(value).alias(total))
 
     def before(keys: list[str], order: list[str]) -> Window:
         w = Window.partitionBy(*keys).orderBy(*order)
         return w.rowsBetween(Window.unboundedPreceding, -1)
 
-    def so_far(total: str, w: Window) -> Column:
-        return F.coalesce(F.sum(total).over(w), F.lit(0))
+    def so_far(name: str, w: Window) -> Column:
+        return F.coalesce(F.sum(name).over(w), F.lit(0))
 
-    outer = totals.groupBy(*groups, "_coarse").agg(F.sum("_total").alias("_total"))
+    outer = totals.groupBy(*groups, c).agg(F.sum(total).alias(total))
     outer = outer.select(
-        *groups, "_coarse", so_far("_total", before([*groups], ["_coarse"])).alias("_outer")
+        *groups, c, so_far(total, before([*groups], [c])).alias(outer_sum)
     )
     inner = totals.select(
         *groups,
-        "_coarse",
-        "_fine",
-        so_far("_total", before([*groups, "_coarse"], ["_fine"])).alias("_inner"),
+        c,
+        f,
+        so_far(total, before([*groups, c], [f])).alias(inner_sum),
     )
-    starts = inner.join(outer, [*groups, "_coarse"]).select(
-        *groups, "_coarse", "_fine", (F.col("_outer") + F.col("_inner")).alias("_start")
+    starts = inner.join(outer, [*groups, c]).select(
+        *groups, c, f, (F.col(outer_sum) + F.col(inner_sum)).alias(first)
     )
     ordered = df.withColumn(
-        "_within", so_far(value, before([*groups, "_coarse", "_fine"], [hashed, *ties]))
-    )
-    joined = ordered.join(starts, [*groups, "_coarse", "_fine"])
-    return joined.withColumn(out, F.col("_start") + F.col("_within")).drop(
-        "_coarse", "_fine", "_within", "_start"
+        inside, so_far(value, before([*groups, c, f], [hashed, *ties]))
     )
+    joined = ordered.join(starts, [*groups, c, f])
+    return joined.withColumn(out, F.col(first) + F.col(inside)).drop(c, f, inside, first)

@@ -12,7 +12,8 @@ The law is ``rows``: shards are equal in count, not in bytes.
 
 Cases: a null text has no bytes and the checksum of the empty text; null or repeated
 identifiers are ordinary rows; fully equal rows are interchangeable; an empty table gives
-an empty result; further columns are ignored.
+an empty result; further columns are ignored, or kept under their names by
+``sharded_rows``.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pavilion.llm.names import free_names
 from pavilion.llm.ordering import hash32, running_sum
 
 ROUNDS = 4
@@ -65,19 +67,25 @@ def permuted(number: Column, n: int, key: int = 0) -> Column:
 def numbered(df: DataFrame, key: str, ties: list[str], out: str = "row_number") -> DataFrame:
     """Number all rows from 0 in the order of a hash of ``key`` and ``ties``."""
     rows = df.count()
-    hashed = df.withColumns({"_hash": hash32(key, *ties), "_one": F.lit(1).cast("long")})
-    return running_sum(hashed, [], "_hash", [key, *ties], "_one", out, rows).drop("_hash", "_one")
+    hashed, one = free_names([*df.columns, out], "hashed", "one")
+    counted = df.withColumns({hashed: hash32(key, *ties), one: F.lit(1).cast("long")})
+    return running_sum(counted, [], hashed, [key, *ties], one, out, rows).drop(hashed, one)
 
 
 def shard(df: DataFrame, key: str, ties: list[str], shards: int, seed: int = 0) -> DataFrame:
-    """Add ``shard`` and ``slot``; ``ties`` order rows of an equal key."""
-    place = permuted(F.col("row_number"), df.count(), seed)
+    """Add ``shard`` and ``slot``; ``ties`` order rows of an equal key.
+
+    Columns of these names that the input has stay as ``shard_`` and ``slot_``.
+    """
+    for name in ("shard", "slot"):
+        df = df.withColumnRenamed(name, *free_names([*df.columns, name], name))
+    number, place = free_names([*df.columns, "shard", "slot"], "row_number", "place")
     return (
-        numbered(df, key, ties)
-        .withColumn("_place", place)
-        .withColumn("shard", (F.col("_place") % shards).cast("int"))
-        .withColumn("slot", F.floor(F.col("_place") / F.lit(shards)).cast("long"))
-        .drop("_place", "row_number")
+        numbered(df, key, ties, number)
+        .withColumn(place, permuted(F.col(number), df.count(), seed))
+        .withColumn("shard", (F.col(place) % shards).cast("int"))
+        .withColumn("slot", F.floor(F.col(place) / F.lit(shards)).cast("long"))
+        .drop(place, number)
     )
 
 
@@ -106,9 +114,8 @@ def shard_documents(docs: DataFrame, shards: int = 24, seed: int = 0) -> DataFra
 
 
 def sharded_rows(docs: DataFrame, shards: int = 24, seed: int = 0) -> DataFrame:
-    """The rows with their shard and slot, in all columns."""
+    """The rows with their shard and slot, in all columns (see ``shard``)."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    measured = docs.withColumns(
-        {"_size": F.octet_length(text), "_crc32": F.crc32(text.cast("binary"))}
-    )
-    return shard(measured, "doc_id", ["_size", "_crc32"], shards, seed).drop("_size", "_crc32")
+    size, crc32 = free_names([*docs.columns, "shard", "slot"], "size", "crc32")
+    measured = docs.withColumns({size: F.octet_length(text), crc32: F.crc32(text.cast("binary"))})
+    return shard(measured, "doc_id", [size, crc32], shards, seed).drop(size, crc32)

@@ -13,7 +13,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from pavilion.llm.arrays import Texts, range_hashes, slices, sums, window_starts, words_of
 
@@ -74,6 +73,3 @@ def rarest_first(hashes: np.ndarray, cells: np.ndarray) -> np.ndarray:
     often = cells[(hashes >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
     return hashes[np.lexsort((hashes, often))]
 
-
-def count_documents(docs: DataFrame) -> int:
-    return docs.agg(F.count("*")).first()[0]
