@@ -608,6 +608,7 @@ FROM both_sides"""
     q["final_diff_blocked"] = q["final_diff"]
     q["tsv_roundtrip"] = q["final_diff"]
     q["table_roundtrip"] = q["final_diff"]
+    q["table_named"] = q["final_diff"]
     ratio = {
         "Batting_Index": "BI", "Fours": "4s", "Six": "6s", "matchplayed": "matchplayed",
         "Centuries": "Centuries", "Fifties": "Fifties", "Bowling_Index": "BoI", "Extras": "Extras",
@@ -693,6 +694,10 @@ FROM long GROUP BY feature"""
 SELECT feature, {r6_as('intercept slope std_error t_value p_value')} FROM logit JOIN tails USING (feature)"""
     q["feature_ranking"] = f"""WITH {LONGS}, {EIGHTHS}, {NEWTON}
 SELECT feature, {r6_as('t_value p_value mean_sq_diff mean_sq_diff_weighted')}
+FROM feature_msd JOIN logit USING (feature) JOIN tails USING (feature)"""
+    q["feature_table"] = f"""WITH {LONGS}, {EIGHTHS}, {NEWTON}
+SELECT feature, 'Continuous' AS kind, {r6('t_value')} AS t_value, printf('%.6e', p_value) AS p_value,
+       {r6_as('mean_sq_diff mean_sq_diff_weighted')}
 FROM feature_msd JOIN logit USING (feature) JOIN tails USING (feature)"""
     q["split_from_tsv"] = q["chrono_split"]
     q["report_roundtrip"] = q["pair_report"]

@@ -228,6 +228,16 @@ def _table_roundtrip(spark, folder):
     return round_doubles(writers.replace_table(exported, path))
 
 
+@query("table_named")
+def _table_named(spark, folder):
+    """The feature table under a name, replaced once and read by SQL."""
+    exported = table(spark, folder).final_diff.select(*EXPORTED)
+    name, shared = "final_diff_stats", scratch_path(spark, "named")
+    writers.replace_named(exported.limit(0), name, shared)
+    writers.replace_named(exported, name, shared)
+    return round_doubles(spark.sql(f"SELECT * FROM {name}"))
+
+
 # Cleaning, ranks and buckets
 
 
@@ -384,3 +394,10 @@ def _report_roundtrip(spark, folder):
 @query("feature_report")
 def _feature_report(spark, folder):
     return round_doubles(reports.feature_report(cleaned(spark, folder), DIFF_FEATURES, RESPONSE))
+
+
+@query("feature_table")
+def _feature_table(spark, folder):
+    """The feature report without the importance that a random forest gives."""
+    ranked = reports.feature_ranking(cleaned(spark, folder), DIFF_FEATURES, RESPONSE)
+    return round_doubles(logit.formatted(ranked).withColumn("kind", F.lit("Continuous")))

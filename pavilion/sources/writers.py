@@ -1,7 +1,8 @@
-"""Sinks: replaced tables, tab-separated export, report tables."""
+"""Sinks: replaced tables by path and by name, tab-separated export, report tables."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -13,6 +14,31 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     return df.sparkSession.read.parquet(path)
 
 
+def replace_named(df: DataFrame, name: str, folder: str) -> DataFrame:
+    """Write a table under a name of the catalogue, replacing what was there.
+
+    Every version has a path of its own under ``folder``. The name moves to the new version
+    only after all of it is written, so readers see the old rows or the new ones, and a write
+    that fails leaves the old ones in place. Earlier versions stay in the folder.
+    """
+    spark = df.sparkSession
+    path = f"{folder.rstrip('/')}/{name}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    quoted = f"`{name}`"
+    if spark.catalog.tableExists(name) and plain_schema(spark.table(name)) == plain_schema(df):
+        spark.sql(f"ALTER TABLE {quoted} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(name)
+    else:
+        # other columns: the name is free for a moment, both versions stay in the folder
+        spark.sql(f"DROP TABLE IF EXISTS {quoted}")
+        spark.catalog.createTable(name, path, "parquet")
+    return spark.table(name)
+
+
+def plain_schema(df: DataFrame) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+
+
 def write_tsv(df: DataFrame, path: str, order: Sequence[str] = ()) -> None:
     """Tab-separated text with a header row and the word NULL for missing values.
 

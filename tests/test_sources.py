@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from pavilion.functions.columns import rounded
 from pavilion.functions.sizing import broadcast_if_small, input_bytes
@@ -33,6 +34,25 @@ def test_bad_team_id_fails(spark):
         readers.read_features(spark, path).collect()
 
 
+def test_named_tables_are_switched_when_written(spark):
+    folder = scratch_path(spark, "named")
+    name = "named_rows"
+    assert writers.replace_named(spark.range(5), name, folder).count() == 5
+    before = spark.table(name)
+    assert writers.replace_named(spark.range(3), name, folder).count() == 3
+    failing = spark.range(0, 1000, 1, 4).select(
+        F.when(F.col("id") < 900, F.col("id")).otherwise(F.raise_error(F.lit("broke off")).cast("long")).alias("id")
+    )
+    with pytest.raises(Exception, match="broke off"):
+        writers.replace_named(failing, name, folder)
+    assert sorted(r.id for r in spark.table(name).collect()) == [0, 1, 2]
+    assert spark.sql(f"SELECT count(*) AS n FROM {name}").head().n == 3
+    other = writers.replace_named(spark.range(2).select("id", F.lit("x").alias("text")), name, folder)
+    assert other.columns == ["id", "text"] and spark.table(name).count() == 2
+    assert before.columns == ["id"]
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_replace_table_and_reports(spark):
     path = scratch_path(spark, "table")
     writers.replace_table(spark.range(5), path)
