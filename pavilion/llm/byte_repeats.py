@@ -19,7 +19,8 @@ surrounds them. 4. Buckets flag all but the first occurrences. 5. Homes remove b
 Candidates come from hashes; matches are compared byte by byte, but for suffixes that a
 home sends once for equal 64-bit hashes. Cases: a null text has no bytes; null identifiers
 come after all others; rows of an equal identifier are documents of their own, by text;
-an empty table gives an empty result; further columns are ignored.
+an empty table gives an empty result; texts above 2**28 bytes are refused with an error;
+further columns are ignored.
 """
 
 from __future__ import annotations
@@ -62,6 +63,8 @@ def anchors_of(texts: Texts, window: int, anchor: int) -> Anchors:
     if n < window:
         none = np.zeros(0, np.int64)
         return Anchors(none, np.zeros(0, np.uint64), none, none)
+    if n >> int(PLACE_BITS):
+        raise ValueError("a text of more than 2**28 bytes has no room for its places")
     at = np.arange(n - anchor + 1)
     hashes = range_hashes(sums(texts.data), at, at + anchor)
     least = (hashes >> PLACE_BITS << PLACE_BITS) | at.astype(np.uint64)

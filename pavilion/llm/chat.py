@@ -20,7 +20,7 @@ Loss falls on assistant texts. Conversations are grouped by ``conv_id``; one con
 is one value of the output, so its turns meet in one row.
 
 Cases: a null text or role is the empty one; null identifiers form one conversation; turns
-of an equal number go by role, then text; an empty table gives an empty result; further
+of an equal number go by role, then text, and those without a number come first; an empty table gives an empty result; further
 columns are ignored.
 """
 
@@ -164,9 +164,9 @@ WITH rows AS (
   FROM rows
 )
 SELECT conv_id, count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text)
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
     FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
   CAST(sum(size) AS BIGINT) AS formatted_chars
 FROM marked GROUP BY conv_id
