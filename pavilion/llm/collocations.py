@@ -4,10 +4,12 @@ Texts are cut into pieces and words. All counts are per language. Phrases of two
 ``longest`` words that occur ``often`` are scored by the weakest place to cut them, and
 those that only occur inside a longer one are dropped.
 
-1. Whole documents are read in blocks. A block keeps its words as numbers with gaps
-   between pieces, and sends every distinct word once with its count. Words are counted
-   natively; the frequent ones get ids by falling frequency within their language, and go
-   back to the blocks that hold them by an equi-join: no dictionary is broadcast.
+1. Words are counted: a slice of texts sends each distinct word once, Spark adds up. The
+   frequent ones get ids by falling frequency within their language. Then whole documents
+   are read in blocks. A block keeps its words as numbers, with gaps between pieces and
+   where words are rare, sends its distinct frequent words, and gets their ids by an
+   equi-join: no dictionary is broadcast. What is rare is mostly known by a map of
+   ``2 ** MAP_BITS`` bits, of fixed size whatever the corpus; the join decides.
 2. A pair of neighbouring ids has an address: the tile of ``SIDE`` by ``SIDE`` ids it falls
    into, then its place in the tile. Frequent words have low ids, so their pairs crowd in
    few tiles. Blocks send their distinct addresses with counts, packed by bucket of tiles.
@@ -37,12 +39,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pavilion.functions.staging import stage
-from pavilion.llm.arrays import LOWER, Texts, mixed, slices
+from pavilion.llm.arrays import LOWER, Texts, mixed, range_hashes, slices, sums
 from pavilion.llm.homes import packed, runs_of, unpacked
 from pavilion.operators.positions import positions
 
@@ -52,7 +54,7 @@ BREAKS = b".,;:!?\n\x0b\x0c\r"
 KIND = np.zeros(256, np.uint8)
 KIND[list(GAPS)], KIND[list(BREAKS)] = 1, 2
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 # log2 of the side of a tile
 SIDE_BITS = 6
 TILE_BITS = 2 * SIDE_BITS
@@ -62,6 +64,9 @@ ENTRIES = 500_000
 FAN = 32
 ID_BITS = 32
 
+MAP_BITS = 26
+CHUNK_BITS = 15
+
 BLOCKS = "block long, lang string, word string, local long, n long, data binary"
 PACKS = "bucket long, block long, n long, data binary"
 NAMES = ["bucket", "block", "n", "data"]
@@ -84,49 +89,145 @@ def words_in(texts: Texts) -> tuple[pa.Array, np.ndarray, np.ndarray]:
         len(starts), pa.py_buffer(edges.tobytes()), pa.py_buffer(data[inside].tobytes())
     )
     doc = texts.doc_of(starts)
-    piece = np.cumsum(kind == 2)[starts] if len(starts) else starts
+    piece = np.cumsum(kind == 2, dtype=np.int32)[starts] if len(starts) else starts
     new = np.ones(len(starts), bool)
     new[1:] = (piece[1:] != piece[:-1]) | (doc[1:] != doc[:-1])
     return words, new, doc
 
 
 def packed_ids(ids: np.ndarray) -> bytes:
-    return packed([ids.astype(np.int64)], deltas=False)
+    """Ids from 0, a gap is -1."""
+    return packed([(ids + 1).astype(np.uint32)], deltas=False)
+
+
+def unpacked_ids(data: bytes, n: int) -> np.ndarray:
+    return unpacked(data, n, [np.uint32], deltas=False)[0].astype(np.int64) - 1
+
 
+def without_gaps(ids: np.ndarray) -> np.ndarray:
+    """One gap stays of neighbouring ones, and none at the beginning; nothing is one gap."""
+    keep = ids >= 0
+    keep[1:] |= keep[:-1].copy()
+    return ids[keep] if keep.any() else np.full(1, -1, np.int64)
 
-def block_rows(texts: Texts, langs: pa.Array, block: int) -> pa.RecordBatch:
-    """The distinct words of a block with their counts, and one row with its words in order."""
-    words, new, doc = words_in(texts)
-    coded, spoken = words.dictionary_encode(), langs.dictionary_encode()
-    many = max(1, len(coded.dictionary))
-    lang = spoken.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    both = lang[doc] * many + coded.indices.to_numpy(zero_copy_only=False)
-    found, local, counts = np.unique(both, return_inverse=True, return_counts=True)
+
+@dataclass(frozen=True)
+class Spoken:
+    """Words of a slice by language: the distinct ones, and which one each word is."""
+
+    langs: pa.Array
+    words: pa.Array
+    counts: np.ndarray
+    places: np.ndarray
+    new: np.ndarray
+
+    @classmethod
+    def of(cls, texts: Texts, langs: pa.Array) -> Spoken:
+        words, new, doc = words_in(texts)
+        coded, spoken = words.dictionary_encode(), langs.dictionary_encode()
+        many = max(1, len(coded.dictionary))
+        lang = spoken.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        both = lang[doc] * many + coded.indices.to_numpy(zero_copy_only=False)
+        del words, doc
+        found, places, counts = np.unique(both, return_inverse=True, return_counts=True)
+        own = [spoken.dictionary.take(pa.array(found // many)), coded.dictionary.take(pa.array(found % many))]
+        return cls(*(x.cast(pa.string()) for x in own), counts, places, new)
+
+
+def string_hashes(column: pa.Array) -> np.ndarray:
+    column = column.cast(pa.large_string())
+    _, places, data = column.buffers()
+    edges = np.frombuffer(places, np.int64)[column.offset : column.offset + len(column) + 1]
+    raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    base = int(edges[0])
+    return range_hashes(sums(raw[base : edges[-1]]), edges[:-1] - base, edges[1:] - base)
+
+
+def word_hashes(langs: pa.Array, words: pa.Array) -> np.ndarray:
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    return mixed(string_hashes(words) + mixed(string_hashes(langs)))
+
+
+def slices_of(batches: Iterator[pa.RecordBatch]) -> Iterator[Spoken]:
+    """Slices of whole documents of ``lang`` and ``text``."""
+    for batch in batches:
+        langs = pc.fill_null(batch.column(0), NO_LANGUAGE)
+        for texts in slices(batch.column(1), BLOCK_BYTES):
+            yield Spoken.of(texts, langs.slice(texts.first, len(texts.starts)))
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """``lang``, ``word`` and ``n`` of the distinct words of every slice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for s in slices_of(batches):
+            yield pa.RecordBatch.from_arrays([s.langs, s.words, pa.array(s.counts)], names=["lang", "word", "n"])
+
+    return docs.select("lang", "text").mapInArrow(run, "lang string, word string, n long")
+
+
+def hash_map(rows: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray]) -> Broadcast:
+    """A broadcast map with a bit for each hash: ``2 ** MAP_BITS`` bits, whatever the rows."""
+    width = 1 << (CHUNK_BITS - 3)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(1 << (MAP_BITS - 3), np.uint8)
+        for batch in batches:
+            at = hashes(batch) >> np.uint64(64 - MAP_BITS)
+            np.bitwise_or.at(bits, at >> np.uint64(3), np.uint8(128) >> (at & np.uint64(7)).astype(np.uint8))
+        chunks = bits.reshape(-1, width)
+        used = np.flatnonzero(chunks.any(1))
+        data = [chunks[i].tobytes() for i in used]
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(data, pa.binary())], names=["chunk", "data"])
+
+    def join(found: pa.Table) -> pa.Table:
+        parts = [np.frombuffer(d, np.uint8) for d in found["data"].to_pylist()]
+        data = np.bitwise_or.reduce(parts).tobytes()
+        return pa.table({"chunk": found["chunk"][:1], "data": pa.array([data], pa.binary())})
+
+    schema = "chunk long, data binary"
+    found = rows.mapInArrow(mark, schema).groupBy("chunk").applyInArrow(join, schema)
+    out = np.zeros((1 << (MAP_BITS - CHUNK_BITS), width), np.uint8)
+    for row in found.collect():  # 2 ** MAP_BITS bits in all
+        out[row["chunk"]] = np.frombuffer(row["data"], np.uint8)
+    return rows.sparkSession.sparkContext.broadcast(out.ravel())
+
+
+def marked(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = hashes >> np.uint64(64 - MAP_BITS)
+    return (bits[at >> np.uint64(3)] >> (np.uint64(7) - (at & np.uint64(7))).astype(np.uint8)) & 1 == 1
+
+
+def block_rows(s: Spoken, bits: np.ndarray, block: int) -> pa.RecordBatch:
+    """The words of a block that may be frequent, and one row with its words in order."""
+    may = marked(bits, word_hashes(s.langs, s.words))
+    local = np.where(may, np.cumsum(may) - 1, -1)
     # a gap before each piece; a block without words is one gap
-    ids = np.full(max(1, len(local) + int(new.sum())), -1, np.int64)
-    ids[np.arange(len(local)) + np.cumsum(new)] = local
-    k = len(found)
+    ids = np.full(max(1, len(s.places) + int(s.new.sum())), -1, np.int64)
+    ids[np.arange(len(s.places)) + np.cumsum(s.new)] = local[s.places]
+    ids = without_gaps(ids)
+    k = int(may.sum())
+    kept = pa.array(may)
     columns = [
         pa.array(np.full(k + 1, block)),
-        pa.concat_arrays([spoken.dictionary.take(pa.array(found // many)).cast(pa.string()), pa.nulls(1, pa.string())]),
-        pa.concat_arrays([coded.dictionary.take(pa.array(found % many)).cast(pa.string()), pa.nulls(1, pa.string())]),
+        pa.concat_arrays([s.langs.filter(kept), pa.nulls(1, pa.string())]),
+        pa.concat_arrays([s.words.filter(kept), pa.nulls(1, pa.string())]),
         pa.array(np.arange(k + 1)),
-        pa.array(np.append(counts, len(ids))),
+        pa.array(np.append(np.zeros(k, np.int64), len(ids))),
         pa.concat_arrays([pa.nulls(k, pa.binary()), pa.array([packed_ids(ids)], pa.binary())]),
     ]
     return pa.RecordBatch.from_arrays(columns, names=["block", "lang", "word", "local", "n", "data"])
 
 
-def read_blocks(docs: DataFrame) -> DataFrame:
+def read_blocks(docs: DataFrame, frequent: Broadcast) -> DataFrame:
     """Rows of ``block_rows`` for all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << ID_BITS
-        for batch in batches:
-            langs = pc.fill_null(batch.column(0), NO_LANGUAGE)
-            for texts in slices(batch.column(1), BLOCK_BYTES):
-                yield block_rows(texts, langs.slice(texts.first, len(texts.starts)), block)
-                block += 1
+        for s in slices_of(batches):
+            yield block_rows(s, frequent.value, block)
+            block += 1
 
     return docs.select("lang", "text").mapInArrow(run, BLOCKS)
 
@@ -139,7 +240,7 @@ def renumbered(found: pa.Table) -> pa.Table:
     is_row = pc.is_valid(found["data"])
     row = found.filter(is_row).to_pylist()[0]
     old, ids = (found.filter(pc.invert(is_row))[c].to_numpy() for c in ("old", "id"))
-    (before,) = unpacked(row["data"], row["n"], [np.int64], deltas=False)
+    before = unpacked_ids(row["data"], row["n"])
     values, known = before, before >= 0
     if row["paired"]:
         values, known = address(before[:-1], before[1:]).view(np.int64), known[:-1] & known[1:]
@@ -150,10 +251,7 @@ def renumbered(found: pa.Table) -> pa.Table:
     hit[hit] = old[at[hit]] == values[hit]
     after = np.full(len(values), -1, np.int64)
     after[hit] = ids[at[hit]]
-    gap = after < 0
-    keep = ~gap
-    keep[1:] |= ~gap[:-1]  # one of the gaps behind a phrase stays
-    after = after[keep] if keep.any() else np.full(1, -1, np.int64)
+    after = without_gaps(after)
     return pa.table(
         {
             "block": pa.array([row["block"]], pa.int64()),
@@ -223,7 +321,7 @@ def send_pairs(blocks: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                (ids,) = unpacked(row["data"], row["n"], [np.int64], deltas=False)
+                ids = unpacked_ids(row["data"], row["n"])
                 a, b = ids[:-1], ids[1:]
                 ok = (a >= 0) & (b >= 0)
                 found, counts = np.unique(address(a[ok], b[ok]), return_counts=True)
@@ -262,7 +360,7 @@ def combined(kind: type) -> Callable:
     return run
 
 
-def frequent(kind: type, often: int) -> Callable:
+def often_enough(kind: type, often: int) -> Callable:
     """Adds up the packs of a bucket and keeps the pairs that occur ``often``."""
 
     def run(found: pa.Table) -> pa.Table:
@@ -283,18 +381,19 @@ def count_pairs(packs: DataFrame, n_blocks: int, often: int) -> DataFrame:
         packs = packs.groupBy("bucket", "block").applyInArrow(combined(kind), PACKS)
         packs = packs.withColumn("block", F.expr(f"block div {FAN}"))
         kind, groups = np.int64, -(-groups // FAN)
-    return packs.groupBy("bucket").applyInArrow(frequent(kind, often), "a long, b long, f long")
+    return packs.groupBy("bucket").applyInArrow(often_enough(kind, often), "a long, b long, f long")
 
 
-def unpacked_pairs(packs: DataFrame) -> DataFrame:
-    """``block`` and ``old`` (the address) of every distinct pair of every block."""
+def unpacked_pairs(packs: DataFrame, frequent: Broadcast) -> DataFrame:
+    """``block`` and ``old`` (the address) of the pairs of every block that may be frequent."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 addresses, _ = unpacked(row["data"], row["n"], (np.uint64, np.uint32))
+                addresses = addresses[marked(frequent.value, mixed(addresses))]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(row["n"], row["block"])), pa.array(addresses.view(np.int64))],
+                    [pa.array(np.full(len(addresses), row["block"])), pa.array(addresses.view(np.int64))],
                     names=["block", "old"],
                 )
 
@@ -355,10 +454,11 @@ class Mined:
 
 def mine(docs: DataFrame, longest: int = 5, often: int = 100) -> Mined:
     """All phrases of up to ``longest`` words that occur ``often`` in their language."""
-    read = stage(read_blocks(docs), "phrase-blocks")
-    words = read.where("data IS NULL").select("block", "lang", "word", "local", "n")
-    totals = stage(words.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
-    counted = words.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= often)
+    counts = stage(
+        word_counts(docs).groupBy("lang", "word").agg(F.sum("n").alias("f")), "phrase-counts"
+    )
+    totals = stage(counts.groupBy("lang").agg(F.sum("f").alias("n")), "phrase-totals")
+    counted = counts.where(F.col("f") >= often)
     first = stage(ranked(counted.withColumnRenamed("word", "phrase")), "phrase-words")
     first = first.select(
         "id",
@@ -372,8 +472,11 @@ def mine(docs: DataFrame, longest: int = 5, often: int = 100) -> Mined:
         F.array("f").alias("suf"),
     )
     levels = [first]
-    named = words.join(first.select("lang", F.col("phrase").alias("word"), "id"), ["lang", "word"])
-    ids = named.select("block", F.col("local").alias("old"), "id")
+    frequent = hash_map(first.select("lang", "phrase"), lambda b: word_hashes(b.column(0), b.column(1)))
+    read = stage(read_blocks(docs, frequent), "phrase-blocks")
+    named = first.select("lang", F.col("phrase").alias("word"), "id")
+    ids = read.where("data IS NULL").join(named.hint("merge"), ["lang", "word"])
+    ids = ids.select("block", F.col("local").alias("old"), "id")
     blocks = read.where("data IS NOT NULL").select("block", "n", "data")
     paired = False
     while len(levels) < longest:
@@ -390,7 +493,9 @@ def mine(docs: DataFrame, longest: int = 5, often: int = 100) -> Mined:
             raise ValueError("more than 2**32 frequent phrases of one length")
         levels.append(level)
         known = level.select(address_column("a", "b").alias("old"), "id")
-        ids = unpacked_pairs(packs).join(known, "old").select("block", "old", "id")
+        frequent = hash_map(known.select("old"), lambda b: mixed(b.column(0).to_numpy().view(np.uint64)))
+        # merged at every size, so that work grows with the input alone
+        ids = unpacked_pairs(packs, frequent).join(known.hint("merge"), "old").select("block", "old", "id")
         paired = True
     return Mined(totals, levels)
 
