@@ -7,9 +7,10 @@ those that only occur inside a longer one are dropped.
 1. Words are counted: a slice of texts sends each distinct word once, Spark adds up. The
    frequent ones get ids by falling frequency within their language. Then whole documents
    are read in blocks. A block keeps its words as numbers, with gaps between pieces and
-   where words are rare, sends its distinct frequent words, and gets their ids by an
-   equi-join: no dictionary is broadcast. What is rare is mostly known by a map of
-   ``2 ** MAP_BITS`` bits, of fixed size whatever the corpus; the join decides.
+   where words are rare, and sends the 64-bit hashes of its distinct words, packed by
+   bucket; the bucket answers with the ids of the frequent ones. No dictionary is broadcast.
+   What is rare is mostly known by a map of ``2 ** MAP_BITS`` bits, of fixed size whatever
+   the corpus; the bucket decides. Buckets with many packs are dealt to several tasks.
 2. A pair of neighbouring ids has an address: the tile of ``SIDE`` by ``SIDE`` ids it falls
    into, then its place in the tile. Frequent words have low ids, so their pairs crowd in
    few tiles. Blocks send their distinct addresses with counts, packed by bucket of tiles.
@@ -67,7 +68,8 @@ ID_BITS = 32
 MAP_BITS = 26
 CHUNK_BITS = 15
 
-BLOCKS = "block long, lang string, word string, local long, n long, data binary"
+# a block: its sequence, and the hashes of its words at the first level
+BLOCKS = "block long, n long, data binary, many long, keys binary"
 PACKS = "bucket long, block long, n long, data binary"
 NAMES = ["bucket", "block", "n", "data"]
 
@@ -199,66 +201,151 @@ def marked(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bits[at >> np.uint64(3)] >> (np.uint64(7) - (at & np.uint64(7))).astype(np.uint8)) & 1 == 1
 
 
-def block_rows(s: Spoken, bits: np.ndarray, block: int) -> pa.RecordBatch:
-    """The words of a block that may be frequent, and one row with its words in order."""
-    may = marked(bits, word_hashes(s.langs, s.words))
-    local = np.where(may, np.cumsum(may) - 1, -1)
-    # a gap before each piece; a block without words is one gap
-    ids = np.full(max(1, len(s.places) + int(s.new.sum())), -1, np.int64)
-    ids[np.arange(len(s.places)) + np.cumsum(s.new)] = local[s.places]
-    ids = without_gaps(ids)
-    k = int(may.sum())
-    kept = pa.array(may)
-    columns = [
-        pa.array(np.full(k + 1, block)),
-        pa.concat_arrays([s.langs.filter(kept), pa.nulls(1, pa.string())]),
-        pa.concat_arrays([s.words.filter(kept), pa.nulls(1, pa.string())]),
-        pa.array(np.arange(k + 1)),
-        pa.array(np.append(np.zeros(k, np.int64), len(ids))),
-        pa.concat_arrays([pa.nulls(k, pa.binary()), pa.array([packed_ids(ids)], pa.binary())]),
-    ]
-    return pa.RecordBatch.from_arrays(columns, names=["block", "lang", "word", "local", "n", "data"])
+def block_table(rows: list[tuple]) -> pa.Table:
+    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary())
+    names = ("block", "n", "data", "many", "keys")
+    return pa.table([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=list(names))
 
 
 def read_blocks(docs: DataFrame, frequent: Broadcast) -> DataFrame:
-    """Rows of ``block_rows`` for all documents."""
+    """The sequences of all documents in the block's own numbers of words that may be frequent."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << ID_BITS
         for s in slices_of(batches):
-            yield block_rows(s, frequent.value, block)
+            hashes = word_hashes(s.langs, s.words)
+            may = marked(frequent.value, hashes)
+            order = np.argsort(hashes[may], kind="stable")
+            local = np.full(len(may), -1, np.int64)
+            local[np.flatnonzero(may)[order]] = np.arange(len(order))
+            # a gap before each piece; a block without words is one gap
+            ids = np.full(max(1, len(s.places) + int(s.new.sum())), -1, np.int64)
+            ids[np.arange(len(s.places)) + np.cumsum(s.new)] = local[s.places]
+            ids, keys = without_gaps(ids), hashes[may][order]
+            data = packed([keys]) if len(keys) else b""
+            yield from block_table([(block, len(ids), packed_ids(ids), len(keys), data)]).to_batches()
             block += 1
 
     return docs.select("lang", "text").mapInArrow(run, BLOCKS)
 
 
+def keys_of(row: dict) -> np.ndarray:
+    return unpacked(row["keys"], row["many"], [np.uint64])[0] if row["many"] else np.zeros(0, np.uint64)
+
+
+def by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order of the keys by bucket, and each bucket's range in it; a tile is in one bucket."""
+    bucket = mixed(keys >> np.uint64(TILE_BITS)) % np.uint64(buckets)
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    return order, [(int(bucket[lo]), lo, hi) for lo, hi in (runs_of(bucket) if len(bucket) else [])]
+
+
+def asked_words(blocks: DataFrame, buckets: int) -> DataFrame:
+    """The hashes of each block's words, packed by bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                keys = keys_of(row)
+                order, parts = by_bucket(keys, buckets)
+                rows = [(b, row["block"], hi - lo, packed([keys[order[lo:hi]]])) for b, lo, hi in parts]
+                yield from pack_table(rows).to_batches()
+
+    return blocks.select("block", "many", "keys").mapInArrow(run, PACKS)
+
+
+def asked_pairs(packs: DataFrame, frequent: Broadcast) -> DataFrame:
+    """The pairs of each block that may be frequent, packed by bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for row in batch.to_pylist():
+                keys, _ = unpacked(row["data"], row["n"], (np.uint64, np.uint32))
+                keys = keys[marked(frequent.value, mixed(keys))]
+                if len(keys):
+                    rows.append((row["bucket"], row["block"], len(keys), packed([keys])))
+            yield from pack_table(rows).to_batches()
+
+    return packs.mapInArrow(run, PACKS)
+
+
+def known_ids(rows: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], buckets: int) -> DataFrame:
+    """Keys and ids of the frequent phrases (``id`` is the last column), packed by bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, ids = hashes(batch), batch.column(batch.num_columns - 1).to_numpy().astype(np.uint32)
+            order = np.argsort(keys, kind="stable")
+            keys, ids = keys[order], ids[order]
+            order, parts = by_bucket(keys, buckets)
+            found = [(b, -1, hi - lo, packed([keys[order[lo:hi]], ids[order[lo:hi]]])) for b, lo, hi in parts]
+            yield from pack_table(found).to_batches()
+
+    return rows.mapInArrow(run, PACKS)
+
+
+def answer(found: pa.Table) -> pa.Table:
+    """Per block the keys that are known, with their ids."""
+    rows = found.select(NAMES).to_pylist()
+    known = [unpacked(r["data"], r["n"], (np.uint64, np.uint32)) for r in rows if r["block"] < 0]
+    out = []
+    if known:
+        keys, ids = (np.concatenate([k[i] for k in known]) for i in range(2))
+        order = np.argsort(keys, kind="stable")
+        keys, ids = keys[order], ids[order]
+        for r in rows:
+            if r["block"] >= 0:
+                (own,) = unpacked(r["data"], r["n"], [np.uint64])
+                at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+                hit = keys[at] == own
+                if hit.any():
+                    out.append((r["bucket"], r["block"], int(hit.sum()), packed([own[hit], ids[at[hit]]])))
+    return pack_table(out)
+
+
+def answers(asked: DataFrame, known: DataFrame) -> DataFrame:
+    """Keys and ids for every block, from buckets; those with many keys are dealt to several tasks."""
+    asked = stage(asked, "phrase-keys")
+    salts = asked.groupBy("bucket").agg(F.ceil(F.sum("n") / F.lit(ENTRIES)).alias("salts"))
+    salted = asked.join(salts, "bucket").withColumn("salt", F.pmod(F.xxhash64("block"), F.col("salts")))
+    copied = known.join(salts, "bucket").withColumn(
+        "salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))
+    )
+    return salted.unionByName(copied).groupBy("bucket", "salt").applyInArrow(answer, PACKS)
+
+
 def renumbered(found: pa.Table) -> pa.Table:
-    """A block's sequence in new ids: ``old`` becomes ``id``, all else a gap.
+    """A block's sequence in new ids, from answers to its keys; what is not known is a gap.
 
-    At the first level ``old`` are the block's own numbers of words, later addresses of pairs.
+    At the first level the keys are the hashes of words, later the addresses of pairs.
     """
-    is_row = pc.is_valid(found["data"])
-    row = found.filter(is_row).to_pylist()[0]
-    old, ids = (found.filter(pc.invert(is_row))[c].to_numpy() for c in ("old", "id"))
+    rows = found.to_pylist()
+    row = next(r for r in rows if r["bucket"] is None)
     before = unpacked_ids(row["data"], row["n"])
-    values, known = before, before >= 0
-    if row["paired"]:
-        values, known = address(before[:-1], before[1:]).view(np.int64), known[:-1] & known[1:]
-    order = np.argsort(old, kind="stable")
-    old, ids = old[order], ids[order]
-    at = np.searchsorted(old, values)
-    hit = known & (at < len(old))
-    hit[hit] = old[at[hit]] == values[hit]
+    known = before >= 0
+    if row["keys"] is None:
+        values, known = address(before[:-1], before[1:]), known[:-1] & known[1:]
+    else:
+        values = np.append(keys_of(row), np.uint64(0))[before]
+    told = [unpacked(r["data"], r["n"], (np.uint64, np.uint32)) for r in rows if r["bucket"] is not None]
     after = np.full(len(values), -1, np.int64)
-    after[hit] = ids[at[hit]]
+    if told:
+        keys, ids = (np.concatenate([t[i] for t in told]) for i in range(2))
+        order = np.argsort(keys, kind="stable")
+        keys, ids = keys[order], ids[order]
+        at = np.minimum(np.searchsorted(keys, values), len(keys) - 1)
+        hit = known & (keys[at] == values)
+        after[hit] = ids[at[hit]]
     after = without_gaps(after)
-    return pa.table(
-        {
-            "block": pa.array([row["block"]], pa.int64()),
-            "n": pa.array([len(after)], pa.int64()),
-            "data": pa.array([packed_ids(after)], pa.binary()),
-        }
-    )
+    return block_table([(row["block"], len(after), packed_ids(after), 0, None)])
+
+
+def renumber(blocks: DataFrame, told: DataFrame) -> DataFrame:
+    """The sequences of all blocks in new ids."""
+    rows = blocks.unionByName(told, allowMissingColumns=True)
+    return rows.groupBy("block").applyInArrow(renumbered, BLOCKS)
 
 
 def address(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -325,12 +412,11 @@ def send_pairs(blocks: DataFrame, buckets: int) -> DataFrame:
                 a, b = ids[:-1], ids[1:]
                 ok = (a >= 0) & (b >= 0)
                 found, counts = np.unique(address(a[ok], b[ok]), return_counts=True)
-                bucket = mixed(found >> np.uint64(TILE_BITS)) % np.uint64(buckets)
-                order = np.argsort(bucket, kind="stable")
-                found, counts, bucket = found[order], counts[order].astype(np.uint32), bucket[order]
+                counts = counts.astype(np.uint32)
+                order, parts = by_bucket(found, buckets)
                 rows = [
-                    (int(bucket[lo]), row["block"], hi - lo, packed([found[lo:hi], counts[lo:hi]]))
-                    for lo, hi in (runs_of(bucket) if len(bucket) else [])
+                    (b, row["block"], hi - lo, packed([found[order[lo:hi]], counts[order[lo:hi]]]))
+                    for b, lo, hi in parts
                 ]
                 yield from pack_table(rows).to_batches()
 
@@ -384,22 +470,6 @@ def count_pairs(packs: DataFrame, n_blocks: int, often: int) -> DataFrame:
     return packs.groupBy("bucket").applyInArrow(often_enough(kind, often), "a long, b long, f long")
 
 
-def unpacked_pairs(packs: DataFrame, frequent: Broadcast) -> DataFrame:
-    """``block`` and ``old`` (the address) of the pairs of every block that may be frequent."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                addresses, _ = unpacked(row["data"], row["n"], (np.uint64, np.uint32))
-                addresses = addresses[marked(frequent.value, mixed(addresses))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(addresses), row["block"])), pa.array(addresses.view(np.int64))],
-                    names=["block", "old"],
-                )
-
-    return packs.select("block", "n", "data").mapInArrow(run, "block long, old long")
-
-
 def address_column(a: str, b: str) -> Column:
     """``address`` as an expression on non-negative longs."""
     low = F.lit((1 << SIDE_BITS) - 1)
@@ -409,18 +479,6 @@ def address_column(a: str, b: str) -> Column:
     return F.shiftleft(tile, TILE_BITS).bitwiseOR(inner)
 
 
-def renumber(blocks: DataFrame, ids: DataFrame, paired: bool) -> DataFrame:
-    """The sequences of all blocks in new ids (``block``, ``old``, ``id``)."""
-    none = F.lit(None)
-    rows = blocks.select(
-        "block", none.cast("long").alias("old"), none.cast("long").alias("id"), "n", "data"
-    )
-    both = rows.unionByName(
-        ids.select("block", "old", "id", none.cast("long").alias("n"), none.cast("binary").alias("data"))
-    ).withColumn("paired", F.lit(paired))
-    return both.groupBy("block").applyInArrow(renumbered, "block long, n long, data binary")
-
-
 def ranked(phrases: DataFrame) -> DataFrame:
     """``id`` by falling frequency within the language."""
     ordered = phrases.withColumn("minus", -F.col("f"))
@@ -472,15 +530,15 @@ def mine(docs: DataFrame, longest: int = 5, often: int = 100) -> Mined:
         F.array("f").alias("suf"),
     )
     levels = [first]
-    frequent = hash_map(first.select("lang", "phrase"), lambda b: word_hashes(b.column(0), b.column(1)))
-    read = stage(read_blocks(docs, frequent), "phrase-blocks")
-    named = first.select("lang", F.col("phrase").alias("word"), "id")
-    ids = read.where("data IS NULL").join(named.hint("merge"), ["lang", "word"])
-    ids = ids.select("block", F.col("local").alias("old"), "id")
-    blocks = read.where("data IS NOT NULL").select("block", "n", "data")
-    paired = False
+    by_words = lambda b: word_hashes(b.column(0), b.column(1))
+    frequent = hash_map(first.select("lang", "phrase"), by_words)
+    blocks = stage(read_blocks(docs, frequent), "phrase-blocks")
+    keys = blocks.agg(F.sum("many")).first()[0] or 0
+    buckets = max(1, -(-keys // ENTRIES))
+    told = answers(asked_words(blocks, buckets), known_ids(first.select("lang", "phrase", "id"), by_words, buckets))
+    by_address = lambda b: b.column(0).to_numpy().view(np.uint64)
     while len(levels) < longest:
-        blocks = stage(renumber(blocks, ids, paired).where("n > 1"), "phrase-ids")
+        blocks = stage(renumber(blocks, told).where("n > 1"), "phrase-ids")
         size = blocks.agg(F.count("*").alias("blocks"), F.sum("n").alias("n")).first()
         buckets = max(1, -(-(size["n"] or 0) // ENTRIES))
         packs = stage(send_pairs(blocks, buckets), "phrase-pairs")
@@ -489,14 +547,13 @@ def mine(docs: DataFrame, longest: int = 5, often: int = 100) -> Mined:
         largest = level.agg(F.max("id")).first()[0]
         if largest is None:
             break
-        if largest >> ID_BITS:
+        if largest >= (1 << ID_BITS) - 1:
             raise ValueError("more than 2**32 frequent phrases of one length")
         levels.append(level)
-        known = level.select(address_column("a", "b").alias("old"), "id")
-        frequent = hash_map(known.select("old"), lambda b: mixed(b.column(0).to_numpy().view(np.uint64)))
-        # merged at every size, so that work grows with the input alone
-        ids = unpacked_pairs(packs, frequent).join(known.hint("merge"), "old").select("block", "old", "id")
-        paired = True
+        if len(levels) < longest:
+            known = level.select(address_column("a", "b").alias("key"), "id")
+            frequent = hash_map(known, lambda b: mixed(by_address(b)))
+            told = answers(asked_pairs(packs, frequent), known_ids(known, by_address, buckets))
     return Mined(totals, levels)
 
 
