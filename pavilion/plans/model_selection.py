@@ -23,10 +23,10 @@ from pavilion.operators.positions import chronological_split
 FitPredict = Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame]
 KEEP = ["id", "label"]
 # Raised whenever the results of a model change, so that kept predictions are not used on.
-CODE = 1
+CODE = 2
 # Fits that run at the same time, and the models that take longest.
 AT_ONCE = 6
-SLOW = ("SVM", "RF")
+SLOW = ("RF", "SVM")
 PREDICTIONS = "model string, fold int, id long, y int, yhat int, score double"
 TIMES = "model string, fold int, fit_seconds double, score_seconds double"
 
@@ -134,7 +134,7 @@ class CrossValidation:
         needed = [f for f in sorted({t[2] for t in todo}) if f not in self.parts]
         self.parts |= dict(zip(needed, self.together(self.prepare, [(f,) for f in needed], at_once), strict=True))
         # the longest fits begin first, so that none is left alone at the end
-        todo.sort(key=lambda t: (t[0] not in SLOW, t[0]))
+        todo.sort(key=lambda t: SLOW.index(t[0]) if t[0] in SLOW else len(SLOW))
         self.together(self.fit, todo, at_once)
         return paths
 
