@@ -23,7 +23,7 @@ from pavilion.operators.positions import chronological_split
 FitPredict = Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame]
 KEEP = ["id", "label"]
 # Raised whenever the results of a model change, so that kept predictions are not used on.
-CODE = 2
+CODE = 3
 # Fits that run at the same time, and the models that take longest.
 AT_ONCE = 6
 SLOW = ("RF", "SVM")
