@@ -466,9 +466,10 @@ stats AS (SELECT feature, avg(x) AS m, stddev_pop(x) AS s FROM raw GROUP BY feat
 SELECT id, feature, {r6('coalesce((x - m) / nullif(s, 0), 0)')} AS value FROM raw JOIN stats USING (feature)"""
     q["fold_assignment"] = f"WITH {CLEANED} SELECT id, ({FOLD})::INTEGER AS fold FROM cleaned"
 
-    cells = """vectors AS (
+    vectors = """vectors AS (
   SELECT vec_id AS id, label, unnest(embedding)::DOUBLE AS v,
-         generate_subscripts(embedding, 1) - 1 AS dim FROM embeddings),
+         generate_subscripts(embedding, 1) - 1 AS dim FROM embeddings)"""
+    cells = f"""{vectors},
 means AS MATERIALIZED (
   SELECT label, dim, avg(v) AS mean, count(*) AS rows FROM vectors GROUP BY label, dim),
 apart AS MATERIALIZED (
@@ -501,7 +502,7 @@ SELECT component, {r6_as('explained_ratio cumulative_ratio')} FROM kept"""
 SELECT component, ([{', '.join(f"'{c}'" for c in MODEL_16)}])[i] AS feature,
        {r6('axis[i] * CASE WHEN axis[largest] < 0 THEN -1 ELSE 1 END')} AS loading
 FROM kept, (SELECT unnest(range(1, {len(MODEL_16) + 1})) AS i)"""
-    q["lda_predict"] = f"""{_RECURSIVE} {cells.split("means AS")[0].rstrip().rstrip(",")}, {_DISCRIMINANT}
+    q["lda_predict"] = f"""{_RECURSIVE} {vectors}, {_DISCRIMINANT}
 SELECT id, label::INTEGER AS label, yhat::INTEGER AS yhat FROM best"""
     q["cart_nodes"] = f"""WITH {LONGS}, {_tree_levels(3)}
 SELECT node, feature, {r6('threshold')} AS threshold, rows, wins FROM tree"""
