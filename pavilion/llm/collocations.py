@@ -287,7 +287,7 @@ def known_ids(rows: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], b
 
 
 def answer(found: pa.Table) -> pa.Table:
-    """Per block the keys that are known, with their ids."""
+    """Per block the ids of its keys, in the order in which it asked; a gap where there is none."""
     rows = found.select(NAMES).to_pylist()
     known = [unpacked(r["data"], r["n"], (np.uint64, np.uint32)) for r in rows if r["block"] < 0]
     out = []
@@ -301,13 +301,13 @@ def answer(found: pa.Table) -> pa.Table:
                 at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
                 hit = keys[at] == own
                 if hit.any():
-                    out.append((r["bucket"], r["block"], int(hit.sum()), packed([own[hit], ids[at[hit]]])))
+                    told = np.where(hit, ids[at].astype(np.int64), -1)
+                    out.append((r["bucket"], r["block"], len(told), packed_ids(told)))
     return pack_table(out)
 
 
 def answers(asked: DataFrame, known: DataFrame) -> DataFrame:
-    """Keys and ids for every block, from buckets; those with many keys are dealt to several tasks."""
-    asked = stage(asked, "phrase-keys")
+    """Ids for every block, from buckets; those with many keys are dealt to several tasks."""
     salts = asked.groupBy("bucket").agg(F.ceil(F.sum("n") / F.lit(ENTRIES)).alias("salts"))
     salted = asked.join(salts, "bucket").withColumn("salt", F.pmod(F.xxhash64("block"), F.col("salts")))
     copied = known.join(salts, "bucket").withColumn(
@@ -316,36 +316,44 @@ def answers(asked: DataFrame, known: DataFrame) -> DataFrame:
     return salted.unionByName(copied).groupBy("bucket", "salt").applyInArrow(answer, PACKS)
 
 
-def renumbered(found: pa.Table) -> pa.Table:
-    """A block's sequence in new ids, from answers to its keys; what is not known is a gap.
+def renumbering(buckets: int, frequent: Broadcast | None) -> Callable:
+    """A block's sequence in new ids, from answers to what it asked; what is not known is a gap.
 
-    At the first level the keys are the hashes of words, later the addresses of pairs.
+    At the first level the keys are the hashes of words; later they are the addresses of
+    pairs, of which those were asked that may be frequent.
     """
-    rows = found.to_pylist()
-    row = next(r for r in rows if r["bucket"] is None)
-    before = unpacked_ids(row["data"], row["n"])
-    known = before >= 0
-    if row["keys"] is None:
-        values, known = address(before[:-1], before[1:]), known[:-1] & known[1:]
-    else:
-        values = np.append(keys_of(row), np.uint64(0))[before]
-    told = [unpacked(r["data"], r["n"], (np.uint64, np.uint32)) for r in rows if r["bucket"] is not None]
-    after = np.full(len(values), -1, np.int64)
-    if told:
-        keys, ids = (np.concatenate([t[i] for t in told]) for i in range(2))
-        order = np.argsort(keys, kind="stable")
-        keys, ids = keys[order], ids[order]
-        at = np.minimum(np.searchsorted(keys, values), len(keys) - 1)
-        hit = known & (keys[at] == values)
-        after[hit] = ids[at[hit]]
-    after = without_gaps(after)
-    return block_table([(row["block"], len(after), packed_ids(after), 0, None)])
+
+    def run(found: pa.Table) -> pa.Table:
+        rows = found.to_pylist()
+        row = next(r for r in rows if r["bucket"] is None)
+        before = unpacked_ids(row["data"], row["n"])
+        known = before >= 0
+        if frequent is None:
+            keys, places = keys_of(row), before
+        else:
+            known = known[:-1] & known[1:]
+            keys, inverse = np.unique(address(before[:-1][known], before[1:][known]), return_inverse=True)
+            places = np.full(len(known), -1, np.int64)
+            places[known] = inverse
+        order, parts = by_bucket(keys, buckets)
+        ranges = {b: order[lo:hi] for b, lo, hi in parts}
+        ids = np.full(len(keys) + 1, -1, np.int64)  # the last one is for gaps
+        for r in rows:
+            if r["bucket"] is not None:
+                own = ranges[r["bucket"]]
+                if frequent is not None:
+                    own = own[marked(frequent.value, mixed(keys[own]))]
+                ids[own] = unpacked_ids(r["data"], r["n"])
+        after = without_gaps(ids[places])
+        return block_table([(row["block"], len(after), packed_ids(after), 0, None)])
+
+    return run
 
 
-def renumber(blocks: DataFrame, told: DataFrame) -> DataFrame:
+def renumber(blocks: DataFrame, told: DataFrame, buckets: int, frequent: Broadcast | None) -> DataFrame:
     """The sequences of all blocks in new ids."""
     rows = blocks.unionByName(told, allowMissingColumns=True)
-    return rows.groupBy("block").applyInArrow(renumbered, BLOCKS)
+    return rows.groupBy("block").applyInArrow(renumbering(buckets, frequent), BLOCKS)
 
 
 def address(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -536,9 +544,10 @@ def mine(docs: DataFrame, longest: int = 5, often: int = 100) -> Mined:
     keys = blocks.agg(F.sum("many")).first()[0] or 0
     buckets = max(1, -(-keys // ENTRIES))
     told = answers(asked_words(blocks, buckets), known_ids(first.select("lang", "phrase", "id"), by_words, buckets))
+    frequent = None
     by_address = lambda b: b.column(0).to_numpy().view(np.uint64)
     while len(levels) < longest:
-        blocks = stage(renumber(blocks, told).where("n > 1"), "phrase-ids")
+        blocks = stage(renumber(blocks, told, buckets, frequent).where("n > 1"), "phrase-ids")
         size = blocks.agg(F.count("*").alias("blocks"), F.sum("n").alias("n")).first()
         buckets = max(1, -(-(size["n"] or 0) // ENTRIES))
         packs = stage(send_pairs(blocks, buckets), "phrase-pairs")
