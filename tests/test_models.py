@@ -264,3 +264,21 @@ def test_forest_importance(spark):
     df = spark.createDataFrame(rows, "id long, good double, noise double, won int")
     found = {r.feature: r.forest_importance for r in importance.forest_importance(df, ["good", "noise"], "won", 10, 4).collect()}
     assert sum(found.values()) == pytest.approx(1.0) and found["good"] > found["noise"]
+
+
+def test_steps_read_no_held_out_rows_and_the_history_reads_them_once(spark, monkeypatch):
+    df, *_ = labelled(spark, n=90)
+    rows = df.withColumn("is_test", F.col("id") >= 70)
+    read = []
+    partial_sums, shares = network._partial_sums, network.held_out_shares
+    monkeypatch.setattr(network, "_partial_sums", lambda r, *a: read.append(r.count()) or partial_sums(r, *a))
+    monkeypatch.setattr(network, "held_out_shares", lambda *a: read.append("held out") or shares(*a))
+    trained = network.train(rows, network.Options(hidden=(4,), epochs=3, batches=2))
+    assert set(read) == {70}
+    assert len(trained.history) == 3 and read.count("held out") == 1
+    monkeypatch.setattr(network, "AT_A_READ", 2)
+    held_out = rows.where("is_test").select(F.col("id"), F.col("label"), "features")
+    for flat, (_, _, _, share) in zip(trained.epochs, trained.history, strict=True):
+        scored = network.predict(trained.net.like(flat), held_out, ["id", "label"])
+        assert scored.where("label = yhat").count() / 20 == share
+    assert [h[3] for h in trained.history] == shares(trained.held_out, trained.net, trained.epochs)
