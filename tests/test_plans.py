@@ -114,3 +114,22 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     parts = innings.batter_parts(spark.read.parquet(path).where("match_id = 3"))
     text = plan(parts.select("match_id", "wickets"))
     assert "EqualTo(match_id,3)" in text and "noball_runs" not in text.split("ReadSchema")[1]
+
+
+@pytest.mark.parametrize("strategy", ["window", "distributed"])
+def test_both_sides_join_the_form_by_match_alone(spark, strategy):
+    games, deliveries = season(6)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    for k, v in zip(before, ("-1", "false"), strict=True):
+        spark.conf.set(k, v)
+    try:
+        whole = table(spark, games, deliveries, strategy)
+        text = plan(whole.named_match_stats)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    # the joins meet by match; a shuffle by (match, team) would move games and form again
+    sides = [line for line in text.splitlines() if "SortMergeJoin [id#" in line]
+    assert len(sides) == 2 and all("[form_id#" in line for line in sides)
+    shuffles = [line for line in text.splitlines() if " Exchange hashpartitioning(id#" in line]
+    assert shuffles and not any("_team#" in line for line in shuffles)
