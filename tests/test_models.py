@@ -282,3 +282,39 @@ def test_steps_read_no_held_out_rows_and_the_history_reads_them_once(spark, monk
         scored = network.predict(trained.net.like(flat), held_out, ["id", "label"])
         assert scored.where("label = yhat").count() / 20 == share
     assert [h[3] for h in trained.history] == shares(trained.held_out, trained.net, trained.epochs)
+
+
+def test_neighbours_by_products_are_those_of_plain_differences():
+    """A bound on rounding leaves exact distances and ties as they are, far from the origin too."""
+    rng = np.random.default_rng(4)
+    cases = [
+        (rng.normal(size=(40, 8)), rng.normal(size=(90, 8))),
+        (rng.integers(0, 2, (40, 3)).astype(float), rng.integers(0, 2, (90, 3)).astype(float)),
+        (1e8 + rng.normal(size=(20, 4)), 1e8 + rng.normal(size=(60, 4))),
+        (np.full((3, 2), 1e200), rng.normal(size=(7, 2))),
+    ]
+    for tests, trains in cases:
+        columns, found = neighbours._k_nearest(tests, trains, 5)
+        away = neighbours._distances(tests, trains)
+        want = np.argsort(away, axis=1, kind="stable")[:, :5]
+        assert (columns == want).all()
+        assert (found == np.take_along_axis(away, want, axis=1)).all()
+
+
+def test_test_rows_of_one_file_are_dealt_to_tasks(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "TASK_PAIRS", 100)
+    rows = [(i, float(i % 2), [float(i), 1.0]) for i in range(40)]
+    df = vectors.from_array(spark.createDataFrame(rows, "id long, label double, v array<double>").coalesce(1), "v", ["id", "label"])
+    found = neighbours._broadcast_candidates(df, df, 3)
+    assert found.rdd.getNumPartitions() == 16
+    assert found.count() == 120
+
+
+def test_a_visit_writes_each_test_row_once(spark, monkeypatch):
+    written = {}
+    monkeypatch.setattr(neighbours, "stage", lambda df, name, real=neighbours.stage: written.setdefault(name, real(df, name)))
+    rows = [(i, float(i % 2), [float(i % 7), float(i % 5)]) for i in range(60)]
+    df = vectors.from_array(spark.createDataFrame(rows, "id long, label double, v array<double>"), "v", ["id", "label"])
+    cells = {(r.test_id, r.rank): r.train_id for r in neighbours.nearest_neighbours(df, df, 3, "cells", pivot_count=8).collect()}
+    assert written["knn-visits"].count() == 60
+    assert cells == {(r.test_id, r.rank): r.train_id for r in neighbours.nearest_neighbours(df, df, 3, "broadcast").collect()}
