@@ -318,3 +318,45 @@ def test_a_visit_writes_each_test_row_once(spark, monkeypatch):
     cells = {(r.test_id, r.rank): r.train_id for r in neighbours.nearest_neighbours(df, df, 3, "cells", pivot_count=8).collect()}
     assert written["knn-visits"].count() == 60
     assert cells == {(r.test_id, r.rank): r.train_id for r in neighbours.nearest_neighbours(df, df, 3, "broadcast").collect()}
+
+
+def test_spans_of_products_lose_no_neighbour():
+    """More rows than a span and a tile, ties across spans, and squares that are not finite."""
+    rng = np.random.default_rng(9)
+    many = neighbours.TILE + 3 * neighbours.SPAN + 5
+    trains = rng.integers(0, 3, (many, 4)).astype(float)
+    trains[: many // 2] += rng.normal(size=(many // 2, 4))
+    huge = np.full((many, 2), 1e200)
+    for tests, rows in ((trains[::400] + 0.25, trains), (trains[::400], trains[:200]), (huge[:5], huge)):
+        with np.errstate(over="ignore", invalid="ignore"):
+            columns, found = neighbours._k_nearest(tests, rows, 5)
+            away = neighbours._distances(tests, rows)
+        want = np.argsort(away, axis=1, kind="stable")[:, :5]
+        assert (columns == want).all()
+        assert (found == np.take_along_axis(away, want, axis=1)).all()
+    spread_out = rng.normal(size=(many, 4))
+    row, _ = neighbours._near(spread_out[:20], neighbours._ready(spread_out), many, 5)
+    assert 100 <= len(row) < 20 * 64  # far fewer pairs than there are
+
+
+def test_folds_are_read_from_the_rows_written_once(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(model_selection, "stage", lambda df, name, real=model_selection.stage: written.append(name) or real(df, name))
+    rows = [(i, i % 2, float(i % 7), float(i % 5 + 1)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, won int, a double, b double")
+    runs = model_selection.CrossValidation(df, ["a", "b"], "won")
+    parts = [runs.part(fold) for fold in range(5)]
+    assert written == ["model-input"]
+    assert sorted(r.id for _, test in parts for r in test.collect()) == list(range(60))
+    for train, test in parts:
+        held = {r.id for r in test.collect()}
+        assert {r.id for r in train.collect()} == set(range(60)) - held
+
+
+def test_the_kernel_machine_keeps_no_second_copy_of_the_lifted_rows(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(60, 3))
+    rows = [(i, float(v[0] > 0), [float(c) for c in v]) for i, v in enumerate(x)]
+    df = vectors.from_array(spark.createDataFrame(rows, "id long, label double, v array<double>"), "v", ["id", "label"])
+    monkeypatch.setattr(type(df), "persist", lambda *_: pytest.fail("rows are kept twice"))
+    assert classifiers.svm_predict(df, df, ["id"], size=20).count() == 60
