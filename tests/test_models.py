@@ -258,6 +258,24 @@ def test_kernel_machine_agrees_with_an_exact_one(spark):
     assert np.allclose(lifted @ lifted.T, classifiers.kernel(x[:300], x[:300], gamma), atol=1e-6)
 
 
+def test_kernel_errors_are_those_of_all_pairs(spark, monkeypatch):
+    """More rows than one tile, several parts, equal ids and equal rows."""
+    rng = np.random.default_rng(8)
+    x = np.round(rng.normal(size=(900, 3)), 1)
+    rows = [(int(i % 880), [float(v) for v in x[i]]) for i in range(900)]
+    df = vectors.from_array(spark.createDataFrame(rows, "id long, v array<double>"), "v", ["id"])
+    landmarks = classifiers.Landmarks.choose(df, 0.3, 12, "id", 42)
+    lifted = landmarks.lift(x)
+    apart = np.abs(lifted @ lifted.T - classifiers.kernel(x, x, 0.3))
+    monkeypatch.setattr(classifiers, "TILE_ROWS", 64)
+    monkeypatch.setattr(classifiers, "TASK_PAIRS", 100_000)
+    for size in (900 * 4 * 8, 10_000):
+        monkeypatch.setattr(classifiers, "PAIR_BYTES", size)
+        mean, largest = landmarks.error(df)
+        assert mean == pytest.approx(apart.mean()) and largest == pytest.approx(apart.max())
+    assert landmarks.error(df.where("id < 0")) == (None, None)
+
+
 def test_forest_importance(spark):
     rng = np.random.default_rng(2)
     rows = [(i, float(i % 2) + 0.1 * float(rng.normal()), float(rng.normal()), int(i % 2)) for i in range(80)]
