@@ -1,6 +1,8 @@
 from fixtures import ball, balls, match, matches
 
 from pavilion.operators import innings
+from pavilion.plans.feature_table import FeatureTable
+from pavilion.sources import star_schema
 
 
 def one(spark, rows):
@@ -73,3 +75,39 @@ def test_date_join_drops_unknown_matches(spark):
     rolled = innings.roll_up(innings.batter_parts(balls(spark, rows)))
     dated = innings.with_match_date(rolled, matches(spark, [match(1, "North")]))
     assert [r.match_id for r in dated.collect()] == [1]
+
+
+def test_one_pass_gives_the_innings_with_their_milestones(spark):
+    """Batters with two teams in an inning, without a team or a name, and repeated balls."""
+    rows = []
+    for i, (bat, batter) in enumerate(
+        [("Reds", "A"), ("Blues", "A"), (None, "A"), (None, "B"), ("Reds", None), ("Blues", "C"), ("Golds", "D")]
+    ):
+        for match_id in (1, 2):
+            for inning in (1, 2):
+                runs = 10 + 15 * i + match_id * 20 + inning * 5
+                rows += [ball(match_id, inning, bat, "Golds", batter, runs, wide=int(i % 3 == 2))] * (1 + i % 2)
+    parts = innings.batter_parts(balls(spark, rows))
+    want = innings.with_milestones(innings.roll_up(parts), innings.milestones(innings.batter_innings(parts)))
+    found = innings.roll_up_with_milestones(parts)
+    assert found.columns == want.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.collect()))
+    assert {r.Century for r in found.collect()} > {0} and {r.Fifty for r in found.collect()} > {0}
+
+
+def test_innings_of_a_match_take_one_shuffle_of_the_balls(spark, tmp_path):
+    """From balls to innings with milestones only balls, sides and dates move."""
+    spark.range(4000).selectExpr(
+        "id % 900 l_orderkey", "id % 7 l_partkey", "cast(id % 5 + 1 as int) l_linenumber", "cast(id % 50 as double) l_quantity",
+        "cast(id % 9 as double) / 100 l_tax", "'R' l_returnflag",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    lineitem = spark.read.parquet(f"{tmp_path}/lineitem.parquet")
+    star = star_schema.by_order(star_schema.StarTables(None, None, None, lineitem))
+    sides = spark.range(900).selectExpr("id match_id", "1 inning", "'a' batting_team", "'b' bowling_team")
+    table = FeatureTable(None, None, star_schema.balls(star), sides)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = innings.roll_up_with_milestones(table.parts_by_match)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
