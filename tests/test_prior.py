@@ -73,3 +73,25 @@ def test_unknown_size_takes_the_distributed_way(spark):
     rdd = spark.sparkContext.parallelize([(1,)])
     assert pick_strategy(spark.createDataFrame(rdd, "a int"), "auto") == "distributed"
     assert pick_strategy(spark.range(3), "auto") == "window"
+
+
+def test_rows_move_with_each_column_once(spark):
+    """The join that places rows reads no column twice, and no sums beside their inputs."""
+    rows = spark.range(50).selectExpr("id", "id % 3 team", "id % 5 day", "cast(id as double) a", "id * 2 b")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = prior_stats(
+            rows, ["team"], "day", "id", {"mean_a": "a", "mean_b": "b"}, {"n": "id"},
+            {"id": "id", "day": "day", "team": "team", "same": "a"}, "distributed",
+        )
+        assert found.where("same <> id").count() == 0
+        want = prior_stats(
+            rows, ["team"], "day", "id", {"mean_a": "a", "mean_b": "b"}, {"n": "id"},
+            {"id": "id", "day": "day", "team": "team", "same": "a"}, "window",
+        )
+        assert sorted(map(str, found.collect())) == sorted(map(str, want.collect()))
+        joined = found._jdf.queryExecution().optimizedPlan().toString()
+        moved = [line for line in joined.split("\n") if "Project" in line and "in_0" in line and "in_1" in line and "at_id" in line]
+        assert moved and "size_0" not in moved[-1] and "sum_0" not in moved[-1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
