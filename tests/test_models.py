@@ -1,3 +1,5 @@
+import threading
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -378,3 +380,34 @@ def test_the_kernel_machine_keeps_no_second_copy_of_the_lifted_rows(spark, monke
     df = vectors.from_array(spark.createDataFrame(rows, "id long, label double, v array<double>"), "v", ["id", "label"])
     monkeypatch.setattr(type(df), "persist", lambda *_: pytest.fail("rows are kept twice"))
     assert classifiers.svm_predict(df, df, ["id"], size=20).count() == 60
+
+
+def test_folds_are_files_and_few_kernel_machines_run_at_once(spark, monkeypatch):
+    df, *_ = labelled(spark, n=60)
+    wide = df.select("id", F.col("label").cast("int").alias("won"), F.hash("id").cast("double").alias("a"), F.lit(1.0).alias("b"))
+    running, most, lock = set(), [], threading.Lock()
+
+    def fake(train, test, keep):
+        with lock:
+            running.add(id(test))
+            most.append(len(running))
+        assert set(r.id for r in train.select("id").collect()).isdisjoint(r.id for r in test.select("id").collect())
+        scored = test.select(*keep, F.lit(1.0).alias("yhat"), F.lit(0.5).alias("score")).localCheckpoint()
+        with lock:
+            running.discard(id(test))
+        return scored
+
+    for limit, chains in ((1000, 2), (10, 1)):
+        monkeypatch.setattr(model_selection, "ALONE_ROWS", limit)
+        most.clear()
+        runs = model_selection.CrossValidation(wide, ["a", "b"], "won")
+        assert {p.rsplit("/", 2)[-2] for p in runs.base.inputFiles()} == {f"fold={i}" for i in range(5)}
+        found = runs.predictions({"SVM": fake})
+        assert found.count() == 60 and max(most) <= chains
+
+
+def test_neighbours_come_to_the_driver_as_columns(spark, monkeypatch):
+    df, *_ = labelled(spark, n=40)
+    monkeypatch.setattr(type(df), "toPandas", None)
+    found = neighbours.nearest_neighbours(df.where("id < 30"), df.where("id >= 30"), 3, strategy="broadcast")
+    assert found.count() == 30
